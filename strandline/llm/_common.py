@@ -36,8 +36,9 @@ def settle(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
     out = df.checkpoint(eager=True)
+    del df  # the last reference to the plan that made them, so its shuffle files go
     gc.collect()
-    sc._jvm.System.gc()  # unreferenced shuffle files go now, not when the driver happens to collect
+    sc._jvm.System.gc()  # now, not when the driver happens to collect
     return out
 
 

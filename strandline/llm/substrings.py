@@ -37,14 +37,14 @@ def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[Prefix, np.ndarray]:
 def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """doc_id, th, first, n: runs of windows that also start in a document with a smaller id."""
     found = phrases(docs, _tokens, span, gram)
-    per = found.groupBy("trigger", "phrase").agg(F.min("doc_id").alias("d"), F.count("*").alias("c"))
-    shared = per.groupBy("trigger").agg(F.count("*").alias("kinds"), F.sum("c").alias("c"), F.min("d").alias("td")).where("c > 1").drop("c")
-    flagged = per.join(shared, "trigger").where("c > 1 or kinds > 1").drop("c")
-    hits = settle(found.join(flagged, ["trigger", "phrase"]).where("d < doc_id or kinds > 1").select("doc_id", "th", "first", "n", "trigger", "d", "kinds", "td"))
-    whole = hits.where("d < doc_id").select("doc_id", "th", "first", "n")
+    twice = found.groupBy("trigger").agg(F.min("doc_id").alias("td"), F.max("doc_id").alias("te"), F.min("phrase").alias("p"), F.max("phrase").alias("q")).where("td < te")
+    twice = settle(twice.select("trigger", "td", (F.col("p") != F.col("q")).alias("mixed")))
+    hits = settle(found.join(twice, "trigger").where("mixed or td < doc_id").select("doc_id", "th", "first", "n", "trigger", "phrase", "mixed"))
+    mixed = hits.where("mixed").drop("mixed")
+    mixed = settle(mixed.join(mixed.groupBy("trigger", "phrase").agg(F.min("doc_id").alias("d")), ["trigger", "phrase"]).select("doc_id", "th", "first", "n", "trigger", "d"))
+    whole = hits.where("not mixed").select("doc_id", "th", "first", "n").unionByName(mixed.where("d < doc_id").select("doc_id", "th", "first", "n"))
     # of a phrase, its first document alone has windows to compare: in the others they are gone already
-    single = hits.where("doc_id = d and kinds > 1")
-    lists = single.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n", "trigger")).alias("runs"))
+    lists = mixed.where("doc_id = d").groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n", "trigger")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -75,7 +75,7 @@ def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
 
 
 def _applied(docs: DataFrame, span: int, gram: int, texts: bool) -> DataFrame:
-    rows = with_spans(docs, repeated(docs, span, gram)).select("doc_id", "text", "spans")
+    rows = with_spans(docs, settle(repeated(docs, span, gram))).select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -191,12 +191,13 @@ def _compare(span: int):
 def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT, slices: int = SLICES) -> DataFrame:
     """doc_id, th, first, n: runs of ``span``-byte strings that also start elsewhere."""
     found = phrases(docs, _tokens, span, gram)
-    per = found.groupBy("trigger", "phrase").agg(F.count("*").alias("c"))
-    shared = per.groupBy("trigger").agg(F.count("*").alias("kinds"), F.sum("c").alias("all")).where("all > 1").drop("all")
-    flagged = per.join(shared, "trigger").where("c > 1 or kinds > 1")
-    hits = settle(found.join(flagged, ["trigger", "phrase"]).select("doc_id", "th", "first", "n", "o", "trigger", "phrase", "c", "kinds"))
-    whole = hits.where("c > 1").select("doc_id", "th", "first", "n")
-    one = hits.where("kinds > 1").groupBy("trigger", "phrase").agg(F.min(F.struct("doc_id", "th", "first", "n", "o", "trigger", "c", "kinds")).alias("r")).select("r.*")
+    twice = settle(found.groupBy("trigger").agg(F.count("*").alias("c"), F.min("phrase").alias("p"), F.max("phrase").alias("q")).where("c > 1").select("trigger", (F.col("p") != F.col("q")).alias("mixed")))
+    hits = settle(found.join(twice, "trigger").select("doc_id", "th", "first", "n", "o", "trigger", "phrase", "mixed"))
+    alike = hits.where("not mixed").select("doc_id", "th", "first", "n")
+    mixed = hits.where("mixed").drop("mixed")
+    per = settle(mixed.groupBy("trigger", "phrase").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "th", "first", "n", "o")).alias("r")))
+    whole = alike.unionByName(mixed.join(per.where("c > 1").select("trigger", "phrase"), ["trigger", "phrase"]).select("doc_id", "th", "first", "n"))
+    one = per.join(per.groupBy("trigger").agg(F.count("*").alias("kinds")), "trigger").select("r.*", "trigger", "c", "kinds")
     lists = one.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n", "o", "trigger", "c", "kinds")).alias("runs"))
     texts = join_keyed(keyed(docs), lists)
     rows = texts.select("doc_id", "th", "text", "runs").mapInArrow(_fetch(span, hot, slices), "doc_id long, th long, key long, first int, n int, o int, c long, bytes binary")
