@@ -37,6 +37,7 @@ def settle(df: DataFrame) -> DataFrame:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
     out = df.checkpoint(eager=True)
     del df  # the last reference to the plan that made them, so its shuffle files go
+    out.isEmpty()  # Spark itself holds the plan of the last execution: let that be another
     gc.collect()
     sc._jvm.System.gc()  # now, not when the driver happens to collect
     return out
