@@ -19,7 +19,7 @@ import numpy as np
 from ._rolling import Prefix, mix
 
 #: Bytes of text encoded at a time; words remembered; bytes of a word merged here.
-SLICE, MEMO, LONG = 2 << 20, 300_000, 48
+SLICE, MEMO, LONG = 3 << 18, 250_000, 48
 SPACE, LETTER, NUMBER, OTHER = range(4)
 _NONE = np.int64(1) << np.int64(62)
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values: the file's pattern

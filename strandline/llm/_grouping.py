@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import settle
+from ._common import settle, tidy
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -89,4 +89,4 @@ def verified(members: DataFrame, kernel: Callable, rows: int = 512, size: int =
                 payloads.append(p)
         yield from close()
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(tidy(run), "u long, v long")

@@ -31,7 +31,7 @@ def seeds(n: int, seed: int) -> np.ndarray:
     return mix((np.arange(1, n + 1, dtype=_U) * _U(_B)) + _U(seed))
 
 
-@functools.lru_cache(4)
+@functools.lru_cache(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for b in (_B, _BINV):
@@ -42,7 +42,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
+    size = 1 << max(20, int(n).bit_length())
     p, q = _powers(size)
     return p[:n], q[:n]
 

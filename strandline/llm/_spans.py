@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import flat, join_keyed, keyed, pieces
+from ._common import flat, join_keyed, keyed, pieces, tidy
 from ._rolling import anchors
 
 #: Text bytes a numpy pass holds at once (some 100 bytes of arrays for each).
-SLICE = 1 << 20
+SLICE = 1 << 19
 PHRASES = "doc_id long, th long, first int, n int, o int, trigger long, phrase long"
 
 
@@ -35,7 +35,7 @@ def phrases(docs: DataFrame, tokens: Callable, span: int, gram: int) -> DataFram
                 doc = pa.array(got["doc"] + a)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(doc), b.column("th").take(doc), *[pa.array(got[c].astype(np.int32)) for c in ("first", "n", "o")], pa.array(got["trigger"]), pa.array(got["phrase"])], names=["doc_id", "th", "first", "n", "o", "trigger", "phrase"])
 
-    return keyed(docs).mapInArrow(run, PHRASES)
+    return keyed(docs).mapInArrow(tidy(run), PHRASES)
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import tidy
+
 Turns = list[tuple[str, str]]
 OPEN, CLOSE, END = "<|", "|>\n", "<|end|>\n"
 
@@ -134,7 +136,7 @@ def formatted(conversations: DataFrame, template: Callable[[Turns], str] = templ
         if turns:
             yield pa.RecordBatch.from_pylist([done(conv, turns)], schema=schema)
 
-    return rows.mapInArrow(run, FORMATTED)
+    return rows.mapInArrow(tidy(run), FORMATTED)
 
 
 #: A conversation that holds another format's control strings.
@@ -156,4 +158,4 @@ def op8(conversations: DataFrame) -> DataFrame:
                 out.append((row["conv_id"], len(turns), sha, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text), row["rewrites_history"]))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 7, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()), strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewrites_history"])
 
-    return formatted(rows).mapInArrow(digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites_history boolean")
+    return formatted(rows).mapInArrow(tidy(digest), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites_history boolean")

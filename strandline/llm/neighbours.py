@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import tidy
+
 #: Rows a block: with 64 dimensions a block of originals is 1 to 2 MB.
 CANDIDATES, QUERIES = 4096, 1024
 BLOCK_SCHEMA = "block int, part long, ids binary, vectors binary, dim int"
@@ -61,7 +63,7 @@ def packed(rows: DataFrame, blocks: int, size: int) -> DataFrame:
             yield out(key)
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    return dealt.select("block", "id", "v").mapInArrow(pack, BLOCK_SCHEMA)
+    return dealt.select("block", "id", "v").mapInArrow(tidy(pack), BLOCK_SCHEMA)
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -125,7 +127,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
                     names=["query_id", "slot", "part", "scores", "ids"],
                 )
 
-    tops = pairs.mapInArrow(best, "query_id long, slot int, part long, scores array<double>, ids array<long>")
+    tops = pairs.mapInArrow(tidy(best), "query_id long, slot int, part long, scores array<double>, ids array<long>")
 
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         runs = [list(zip((-s for s in sc), i, strict=True)) for sc, i in zip(pdf["scores"], pdf["ids"], strict=True)]

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import tidy
+
 from ._bpe import encoder
 
 CAPACITY, CLOSING = 2048, 1
@@ -95,7 +97,7 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, closing
                         total.append(len(own))
                 yield pa.RecordBatch.from_arrays([ids_col.take(pa.array(doc, pa.int64())), pa.array(start, pa.int64()), pa.array(blob, pa.binary()), pa.array(total, pa.int64())], names=["doc_id", "start", "ids", "doc_tokens"])
 
-    return rows.mapInArrow(run, "doc_id long, start long, ids binary, doc_tokens long")
+    return rows.mapInArrow(tidy(run), "doc_id long, start long, ids binary, doc_tokens long")
 
 
 def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, closing: int = CLOSING, group: int = GROUP) -> DataFrame:
@@ -142,7 +144,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, closing: i
                 yield table(zip(*full, strict=True))
         yield from close()
 
-    return dealt.select("g", "doc_id", "start", "ids", "doc_tokens", "crc", "n").mapInArrow(run, PIECES)
+    return dealt.select("g", "doc_id", "start", "ids", "doc_tokens", "crc", "n").mapInArrow(tidy(run), PIECES)
 
 
 def op9(docs: DataFrame) -> DataFrame:

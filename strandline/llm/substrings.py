@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import flat, join_keyed, keyed, pieces, settle
+from ._common import flat, join_keyed, keyed, pieces, settle, tidy
 from ._rolling import Prefix, mix, words
 from ._spans import SLICE, covered, phrases, sha256, with_spans
 
@@ -63,7 +63,7 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
                 take = pa.array(doc + a)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("th").take(take), pa.array(local.astype(np.int32)), pa.array(h.view(np.int64))], names=["doc_id", "th", "first", "window"])
 
-    windows = settle(join_keyed(keyed(docs), lists).select("doc_id", "th", "text", "runs").mapInArrow(run, "doc_id long, th long, first int, window long"))
+    windows = settle(join_keyed(keyed(docs), lists).select("doc_id", "th", "text", "runs").mapInArrow(tidy(run), "doc_id long, th long, first int, window long"))
     smallest = windows.groupBy("window").agg(F.min("doc_id").alias("d"), F.max("doc_id").alias("e")).where("d < e").drop("e")
     more = windows.join(smallest, "window").where("d < doc_id").select("doc_id", "th", "first", F.lit(1).alias("n"))
     return whole.unionByName(more)
@@ -93,7 +93,7 @@ def _applied(docs: DataFrame, span: int, gram: int, texts: bool) -> DataFrame:
             c = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.string()), pa.array(c[3], pa.string()), pa.array(c[4], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))], names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256", "intervals"])
 
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, intervals array<struct<first: long, last: long>>")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, intervals array<struct<first: long, last: long>>")
 
 
 def op4(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import flat, join_keyed, keyed, settle
+from ._common import flat, join_keyed, keyed, settle, tidy
 from ._rolling import _BYTE, Prefix, mix, seeds
 from ._spans import covered, phrases, sha256, with_spans
 
@@ -200,8 +200,8 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT
     one = per.join(per.groupBy("trigger").agg(F.count("*").alias("kinds")), "trigger").select("r.*", "trigger", "c", "kinds")
     lists = one.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n", "o", "trigger", "c", "kinds")).alias("runs"))
     texts = join_keyed(keyed(docs), lists)
-    rows = texts.select("doc_id", "th", "text", "runs").mapInArrow(_fetch(span, hot, slices), "doc_id long, th long, key long, first int, n int, o int, c long, bytes binary")
-    more = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(span), "doc_id long, th long, first int, n int")
+    rows = texts.select("doc_id", "th", "text", "runs").mapInArrow(tidy(_fetch(span, hot, slices)), "doc_id long, th long, key long, first int, n int, o int, c long, bytes binary")
+    more = rows.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_compare(span)), "doc_id long, th long, first int, n int")
     return whole.unionByName(more)
 
 
@@ -227,7 +227,7 @@ def _applied(docs: DataFrame, span: int, gram: int, texts: bool, **how) -> DataF
             c = list(zip(*out, strict=True)) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c[k], pa.int64()) for k in range(3)], pa.array(c[3], pa.binary()), pa.array(c[4], pa.string()), pa.array(c[5], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256", "spans"])
 
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string, spans array<struct<start: long, end: long>>")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string, spans array<struct<start: long, end: long>>")
 
 
 def op1(docs: DataFrame) -> DataFrame:

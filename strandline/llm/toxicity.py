@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import flat, pieces
+from ._common import flat, pieces, settle, tidy
 
 #: At most so many labelled rows train the lexicon.
 SAMPLE = 20_000
@@ -48,7 +48,9 @@ LOOKALIKE = dict(zip("аеорсухіѕԁոαεοτικ", "aeopcyxisdnaeotik",
 GAPS = " ._-*'~/\\​‌‍﻿­"
 _EDGE = ".,;:?\"'()[]{}%&#*…«»“”‘’"
 _SPELT = re.compile(r"(?<!\S)[^\W_](?:[ ._\-*~/]{1,3}(?:[^\W_]|[@$!|])){3,}(?!\w)")
-_ODD = re.compile(r"[0-9@$!|+(€£¡*#%._\-'~/\\​‌‍﻿­Ͱ-ӿ]|([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3")
+_SIGN = r"[0-9@$!|+(€£¡*#%._\-'~\u200b-\u200d\ufeff\u00ad]"
+#: Where a token hides letters: signs between letters, a sign before letters, a letter three times, letters of another script beside Latin ones.
+_ODD = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S)[0-9@$!|+(€£¡*]+[^\W\d_]|([^\W\d_])\1\1|[a-z][\u0370-\u04ff]|[\u0370-\u04ff][a-z]")
 
 
 def fold_table() -> np.ndarray:
@@ -59,6 +61,7 @@ def fold_table() -> np.ndarray:
         if c.isalpha():
             base = unicodedata.normalize("NFD", c.lower())[0]
             out[i] = ord(base) - 96 if "a" <= base <= "z" else 27
+    out[-1] = 27  # whatever lies beyond
     return out
 
 
@@ -69,17 +72,17 @@ def letter_counts(docs: DataFrame) -> np.ndarray:
         fold, total = fold_table(), np.zeros(LETTERS**ORDER, np.int64)
         for b in batches:
             data, off = flat(b.column(0))
-            for a, z in pieces(off, 2 << 20):
+            for a, z in pieces(off, 1 << 19):
                 text = data[off[a] : off[z]].tobytes().decode("utf-8", "replace")
                 cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-                x = np.where(cp < len(fold), fold[np.minimum(cp, len(fold) - 1)], 27).astype(np.int32)
+                x = fold[np.minimum(cp, len(fold) - 1)].astype(np.int32)
                 x = np.concatenate([np.zeros(ORDER - 1, np.int32), x])
                 gram = x[3:] + LETTERS * (x[2:-1] + LETTERS * (x[1:-2] + LETTERS * x[:-3]))
                 total += np.bincount(gram, minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["gram", "n"])
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(tidy(count), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(LETTERS**ORDER, np.float64)
     out[rows.column("gram").to_numpy()] = rows.column("n").to_numpy()
     return out
@@ -159,51 +162,68 @@ def plain(token: str) -> str:
     return token.strip(_EDGE).rstrip("!").lstrip("¡¿")
 
 
-class Reader:
-    """Restored words of texts; what a token gives is remembered."""
-
-    def __init__(self, lm: np.ndarray):
-        self.lm, self.memo = lm, {}
-
-    def words(self, token: str) -> tuple[str, ...]:
-        core = plain(token)
-        out = [core] if core.isalpha() else re.findall(r"[^\W\d_]{2,}", core)
-        if len(core) > 2 and _ODD.search(token) and re.search(r"[^\W\d_]", token):
-            for form in {core, token.strip(_EDGE[:16])}:
-                out += readings(form, self.lm)
-        return tuple(dict.fromkeys(out))
-
-    def spelt(self, text: str) -> list[str]:
-        """Words inside stretches of single characters with gaps between."""
-        out = []
-        for m in _SPELT.finditer(text):
-            for r in readings(m[0], self.lm):
-                out += [r[a:z] for a in range(len(r)) for z in range(a + 4, min(len(r), a + 16) + 1)]
-        return out
-
-
 class Scorer:
-    def __init__(self, lm: np.ndarray, lexicon: dict[str, float], base: float):
-        self.read, self.lexicon, self.base, self.memo = Reader(lm), lexicon, base, {}
+    """Scores texts with a model; what an odd token gives is remembered."""
 
-    def found(self, token: str) -> tuple[str, ...]:
-        return tuple(e for w in self.read.words(token) for e in entries(w) if e in self.lexicon)
+    def __init__(self, lm: np.ndarray, lexicon: dict[str, float], base: float):
+        self.lm, self.lexicon, self.base, self.memo = lm, lexicon, base, {}
+        self.plain = None
+        if lexicon:
+            import ahocorasick
+
+            self.plain = ahocorasick.Automaton()
+            for e in {e.rstrip("-") for e in lexicon}:
+                self.plain.add_word(e, len(e))
+            self.plain.make_automaton()
+
+    def literal(self, text: str) -> set[str]:
+        """Entries that stand in a lower-case text as they are: at the start of a run of letters."""
+        hits = set()
+        if self.plain is not None:
+            for last, n in self.plain.iter(text):
+                a, z = last - n + 1, last + 1
+                if a and text[a - 1].isalpha():
+                    continue
+                if z < len(text) and text[z].isalpha():
+                    hits.add(text[a:z] + "-")
+                else:
+                    hits.add(text[a:z])
+        return hits
+
+    def restored(self, token: str) -> tuple[str, ...]:
+        """Entries behind a token that hides letters."""
+        got = self.memo.get(token)
+        if got is None:
+            forms = {plain(token), token.strip(_EDGE)}
+            got = tuple({e for f in forms for w in readings(f, self.lm) for e in entries(w) if e in self.lexicon})
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[token] = got
+        return got
+
+    def spelt(self, stretch: str) -> set[str]:
+        """Entries inside a stretch of single characters with gaps between."""
+        out = set()
+        for r in readings(stretch, self.lm):
+            out |= {r[a:z] for a in range(len(r)) for z in range(a + 4, min(len(r), a + 16) + 1)}
+        return out
 
     def score(self, text: str) -> float:
-        text, memo, hits = text.lower(), self.memo, set()
-        for t in set(text.split()):
-            got = memo.get(t)
-            if got is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                got = memo[t] = self.found(t)
-            if got:
-                hits.update(got)
-        for w in self.read.spelt(text):
-            if w in self.lexicon:
-                hits.add(w)
+        text = text.lower()
+        hits = self.literal(text)
+        at = 0
+        while m := _ODD.search(text, at):
+            a, z = m.start(), m.end()
+            while a and not text[a - 1].isspace():
+                a -= 1
+            while z < len(text) and not text[z].isspace():
+                z += 1
+            hits.update(self.restored(text[a:z]))
+            at = z
+        for m in _SPELT.finditer(text):
+            hits |= self.spelt(m[0])
         clean = 1.0 - self.base
-        for h in sorted(hits):
+        for h in sorted(hits & self.lexicon.keys()):
             clean *= 1.0 - self.lexicon[h]
         return 1.0 - clean
 
@@ -234,15 +254,22 @@ def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, bad = Counter({"": 0}), Counter()
-            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
+            for text, toxic in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
+                if len(n) > 100_000:  # an entry may come in several rows; they are added up
+                    yield counted(n, bad)
+                    n, bad = Counter({"": 0}), Counter()
+                text = text.as_py()
                 own = {e for t in set(text.lower().split()) if (w := plain(t)).isalpha() for e in entries(w)}
                 own.add("")  # every document has this entry: the totals
                 n.update(own)
                 if toxic:
                     bad.update(own)
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([bad[e] for e in n], pa.int64())], names=["entry", "n", "bad"])
+            yield counted(n, bad)
+
+    def counted(n: Counter, bad: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([bad[e] for e in n], pa.int64())], names=["entry", "n", "bad"])
 
-    per = rows.mapInArrow(count, "entry string, n long, bad long").groupBy("entry").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    per = settle(rows.mapInArrow(tidy(count), "entry string, n long, bad long").groupBy("entry").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     total = per.where("entry = ''").collect()
     if not total or not total[0].n:
         return {}, 0.0
@@ -281,7 +308,7 @@ def scored(docs: DataFrame, lm: np.ndarray, lexicon: dict[str, float], base: flo
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array([s.score(t.as_py()) for t in b.column("_text")], pa.float64())], names=["_row", "score"])
 
-    out = packed.mapInArrow(run, schema).select("_row.*", "score")
+    out = packed.mapInArrow(tidy(run), schema).select("_row.*", "score")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
