@@ -1,7 +1,7 @@
 """10. Document fingerprints: canonical exact digests, DataFrame functions only.
 
 The canonical form of a text is its NFC normal form, case-folded (upper then
-lower, so that ß equals ss), with every run of white space one blank and none
+lower, and ß as ss), with every run of white space one blank and none
 at the ends.  Its fingerprint is two xxhash64 values with different seeds, 32
 hex digits.  Inside a bucket of equal hashes the canonical bytes are compared:
 should two differ, all but the smallest get a suffix that numbers them, so
@@ -86,7 +86,8 @@ def canonical(text: Column) -> Column:
     one = F.translate(text, keys, "".join(singles.values()))
     odd = r"[\p{M}" + _ranges(keys) + "]"
     nfc = F.when(F.length(text) == F.octet_length(text), text).when(text.rlike(odd), _composed(one)).otherwise(text)
-    return F.trim(F.regexp_replace(F.lower(F.upper(nfc)), r"[\s\p{Z}\x{85}]+", " "))
+    folded = F.replace(F.lower(F.upper(nfc)), F.lit("ß"), F.lit("ss"))  # the one folding that lengthens
+    return F.trim(F.regexp_replace(folded, r"[\s\p{Z}\x{85}]+", " "))
 
 
 def wide(canon: Column) -> Column:

@@ -55,10 +55,10 @@ def fit(lengths: list[int], counts: list[int], budget: int) -> list[int]:
         for i in order:
             take[i] = counts[i]
         return take
+    bound = DP_LENGTHS * max((lengths[i] for i in order), default=0)
     for i in order:
-        take[i] = counts[i] * budget // whole
+        take[i] = counts[i] * max(0, budget - bound) // whole  # the programme gets room to choose in
     rest = budget - sum(take[i] * lengths[i] for i in order)
-    bound = DP_LENGTHS * max((lengths[i] for i in order), default=0)
     for i in reversed(order):
         if rest <= bound:
             break
