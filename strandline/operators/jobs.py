@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.config import RESERVED, Job
 from ..functions.naming import file_name, high_water, pending_days
-from ..functions.times import compared, day_of, in_days, today
+from ..functions.times import Before, compared, day_of, in_days, today
 from ..plans import relational as R
 from ..sources.archive import Archive, first_of_each
 from ..sources.hot import HotTable
@@ -87,8 +87,8 @@ class ArchiveJob:
     def _before(self, at: datetime) -> Column:
         return compared(self.job.time_column, "<", at, self.job.encoding, self.job.tz)
 
-    def expired(self, now: datetime) -> Column:
-        return self._before(now - timedelta(seconds=self.job.retain_seconds))
+    def expired(self, now: datetime) -> Before:
+        return Before(self.job.time_column, now - timedelta(seconds=self.job.retain_seconds), self.job.encoding, self.job.tz)
 
     # export -----------------------------------------------------------------
     def export(self, now: datetime, dry_run: bool = False, on_file: Callable | None = None) -> ExportResult:
@@ -158,7 +158,7 @@ class ArchiveJob:
         if mark is None:
             return PurgeResult("empty")
         old = self.expired(now)
-        rows = self.hot.scan().where(old & (F.col(c) <= mark))
+        rows = self.hot.scan().where(old.column() & (F.col(c) <= mark))
         s = R.summary(rows, c).first()
         if not s.n:
             return PurgeResult("empty")

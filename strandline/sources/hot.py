@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import Before
 from .files import Store
 
 
@@ -15,7 +16,7 @@ class HotTable(Protocol):
     cursor: str
 
     def scan(self) -> DataFrame: ...
-    def delete(self, bound: int, where: Column, limit: int) -> int: ...
+    def delete(self, bound: int, old: Before, limit: int) -> int: ...
     def write_guard(self) -> int | None: ...
 
 
@@ -39,10 +40,10 @@ class ParquetHotTable:
     def scan(self) -> DataFrame:
         return self.spark.read.parquet(self._snapshots()[-1])
 
-    def delete(self, bound: int, where: Column, limit: int) -> int:
-        """Delete up to ``limit`` rows with the smallest ids among those up to ``bound`` that ``where`` holds for."""
+    def delete(self, bound: int, old: Before, limit: int) -> int:
+        """Delete up to ``limit`` rows with the smallest ids among the ``old`` ones up to ``bound``."""
         rows = self.scan()
-        some = rows.where((F.col(self.cursor) <= bound) & where)
+        some = rows.where((F.col(self.cursor) <= bound) & old.column())
         gone = some.select(self.cursor).orderBy(self.cursor).limit(limit)
         n = gone.count()
         if n:
@@ -80,10 +81,11 @@ class JdbcHotTable:
     def scan(self, sql: str | None = None) -> DataFrame:
         return self.spark.read.format("jdbc").option("url", self.url).option("dbtable", f"({sql}) t" if sql else self.table).options(**self.options).load()
 
-    def delete(self, bound: int, where: str, limit: int) -> int:
+    def delete(self, bound: int, old: Before, limit: int) -> int:
+        """As above, in the database; each call commits on its own."""
         conn = self.spark._jvm.java.sql.DriverManager.getConnection(self.url)
         try:
-            return conn.createStatement().executeUpdate(self.delete_sql(bound, where, limit))
+            return conn.createStatement().executeUpdate(self.delete_sql(bound, old.sql(self.quote(old.name)), limit))
         finally:
             conn.close()
 
