@@ -110,6 +110,23 @@ def test_fuzzy_lines(spark):
     assert kept[1] == 0 and kept[3] == 0 and kept[4] == 1
 
 
+def test_changed_lines(spark):
+    ship_package(spark)
+    a, b = " ".join(WORDS[:60]), " ".join(WORDS[200:210])
+    han = "".join(chr(0x4E00 + i * 7919 % 9973) for i in range(40))
+    rows = [(1, a), (2, a.replace(WORDS[30], "other")), (3, b), (4, b.replace(WORDS[204], WORDS[204] + "s")), (5, han), (6, han[:20] + "\u3042" + han[21:]), (7, "ha" * 60), (8, "ha" * 61), (9, " ".join(WORDS[400:430])), (10, " ".join([*WORDS[400:415], *WORDS[600:615]]))]
+    kept = {r.doc_id: r.n_removed for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {1: 0, 2: 1, 3: 0, 4: 1, 5: 0, 6: 1, 7: 0, 8: 1, 9: 0, 10: 0}
+
+
+def test_line_groups_join():
+    import numpy as np
+
+    place = np.array([100 << 42 | 50 << 21 | 60, 5, 101 << 42 | 50 << 21 | 59, 100 << 42 | 50 << 21 | 70, 1 << 63 | 100 << 42 | 50 << 21 | 60], np.uint64)
+    for step in (1, 2, 1024):
+        assert lines.connected(place, 0.9, step).tolist() == [0, 1, 0, 0, 4]
+
+
 def test_mixing(docs):
     got = mixing.op2(docs).collect()
     size = collections.Counter()
