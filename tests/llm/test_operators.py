@@ -119,6 +119,18 @@ def test_changed_lines(spark):
     assert kept == {1: 0, 2: 1, 3: 0, 4: 1, 5: 0, 6: 1, 7: 0, 8: 1, 9: 0, 10: 0}
 
 
+def test_short_lines(spark):
+    import corpus_pipeline
+
+    ship_package(spark)
+    text = "All rights reserved\n\n***\n" + " ".join(WORDS[:40])
+    rows = [(1, text), (2, text), (3, "ALL RIGHTS RESERVED.\nall rights deserved"), (4, "\n--\n"), (5, "好\n" + " ".join(WORDS[50:80])), (6, "好\nx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.kept) for r in lines.dedup(df).collect()}
+    assert got == {1: (0, text), 2: (2, "\n***"), 3: (1, "all rights deserved"), 4: (0, rows[3][1]), 5: (0, rows[4][1]), 6: (1, "x")}
+    assert sorted(r.doc_id for r in corpus_pipeline.dedup_lines(spark, df, "").collect()) == [1, 3, 4, 5, 6]
+
+
 def test_line_groups_join():
     import numpy as np
 
