@@ -7,7 +7,9 @@ significantly more often than others, from a bounded sample of labelled rows
 (SAMPLE, in hash order of ids).  A decoder: a token that mixes letters with
 digits or symbols, repeats a letter, or is spelt with gaps becomes a lattice
 of what its characters may stand for; Viterbi search under the language model
-finds the likeliest readings, and the restored words are looked up.
+finds the likeliest readings, and the restored words are looked up.  A word of
+letters alone with an equal pair or an accented Latin letter is looked up
+without them instead, unless the labelled rows show it to be an ordinary word.
 
 A document's score is one minus the product, over the lexicon entries found in
 it, of the odds that each is harmless, starting from the rate of toxic
@@ -25,7 +27,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ LETTERS, ORDER, BEAM, READINGS = 32, 4, 48, 4
 #: Evidence an entry needs, in nats beyond the logarithm of the number of entries in as many documents.
 MARGIN = 2.5
 MEMO = 300_000
+BASE = 0.02
 
 # What a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h", "%": "o"}
@@ -49,8 +52,17 @@ GAPS = " ._-*'~/\\​‌‍﻿­"
 _EDGE = ".,;:?\"'()[]{}%&#*…«»“”‘’"
 _SPELT = re.compile(r"(?<!\S)[^\W_](?:[ ._\-*~/]{1,3}(?:[^\W_]|[@$!|])){3,}(?!\w)")
 _SIGN = r"[0-9@$!|+(€£¡*#%._\-'~\u200b-\u200d\ufeff\u00ad]"
-#: Where a token hides letters: signs between letters, a sign before letters, a letter three times, letters of another script beside Latin ones.
-_ODD = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S)[0-9@$!|+(€£¡*]+[^\W\d_]|([^\W\d_])\1\1|[a-z][\u0370-\u04ff]|[\u0370-\u04ff][a-z]")
+#: Where a token hides letters: signs between letters, a sign before letters or behind one (beyond sentence punctuation), a letter three times, letters of another script beside Latin ones.
+_ODD = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S)[0-9@$!|+(€£¡*]+[^\W\d_]|[^\W\d_][0-9@$|+€£*#%]|([^\W\d_])\1\1|[a-z][\u0370-\u04ff]|[\u0370-\u04ff][a-z]")
+
+#: Where a word of letters may hide another: a letter twice, an accented Latin letter.
+_SOFT = re.compile(r"([^\W\d_])\1|[\u00e0-\u00f6\u00f8-\u024f\u1e00-\u1eff]")
+_RUN = re.compile(r"(.)\1+")
+
+
+def bare(word: str) -> str:
+    """A word without accents and with each run of a letter as one."""
+    return _RUN.sub(r"\1", "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c)))
 
 
 def fold_table() -> np.ndarray:
@@ -107,6 +119,9 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         c = LOOKALIKE.get(c, c)
         if c.isalpha():
             arcs = [(c, 0.0)]
+            base = unicodedata.normalize("NFD", c)[0]
+            if base != c and "a" <= base <= "z":
+                arcs.append((base, 0.5))
             if c == before:
                 arcs = [(c, 1.0), ("", 0.2)]
         else:
@@ -162,11 +177,20 @@ def plain(token: str) -> str:
     return token.strip(_EDGE).rstrip("!").lstrip("¡¿")
 
 
+def bare_entries(lexicon: Iterable[str]) -> dict[str, list[str]]:
+    """Entries by their bare form."""
+    out: dict[str, list[str]] = {}
+    for e in lexicon:
+        out.setdefault(bare(e), []).append(e)
+    return out
+
+
 class Scorer:
     """Scores texts with a model; what an odd token gives is remembered."""
 
-    def __init__(self, lm: np.ndarray, lexicon: dict[str, float], base: float):
+    def __init__(self, lm: np.ndarray, lexicon: dict[str, float], base: float, ordinary: frozenset[str] = frozenset()):
         self.lm, self.lexicon, self.base, self.memo = lm, lexicon, base, {}
+        self.ordinary, self.bare, self.soft = ordinary, bare_entries(lexicon), {}
         self.plain = None
         if lexicon:
             import ahocorasick
@@ -201,6 +225,16 @@ class Scorer:
             self.memo[token] = got
         return got
 
+    def softened(self, word: str) -> tuple[str, ...]:
+        """Entries that a word of letters is but for doubled letters and accents."""
+        got = self.soft.get(word)
+        if got is None:
+            got = () if word in self.ordinary else tuple({e for b in entries(bare(word)) for e in self.bare.get(b, ())})
+            if len(self.soft) >= MEMO:
+                self.soft.clear()
+            self.soft[word] = got
+        return got
+
     def spelt(self, stretch: str) -> set[str]:
         """Entries inside a stretch of single characters with gaps between."""
         out = set()
@@ -220,6 +254,15 @@ class Scorer:
                 z += 1
             hits.update(self.restored(text[a:z]))
             at = z
+        at = 0
+        while self.bare and (m := _SOFT.search(text, at)):
+            a, z = m.start(), m.end()
+            while a and text[a - 1].isalpha():
+                a -= 1
+            while z < len(text) and text[z].isalpha():
+                z += 1
+            hits.update(self.softened(text[a:z]))
+            at = z
         for m in _SPELT.finditer(text):
             hits |= self.spelt(m[0])
         clean = 1.0 - self.base
@@ -244,7 +287,7 @@ def sample(labels: DataFrame, train: Column | None = None, bound: int = SAMPLE)
     return rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
-def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float]:
+def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float, frozenset[str]]:
     """The lexicon with each entry's share of toxic documents, and the rate of toxic ones without an entry.
 
     ``labelled`` holds at most SAMPLE rows, which is why it is broadcast.
@@ -272,7 +315,7 @@ def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float
     per = settle(rows.mapInArrow(tidy(count), "entry string, n long, bad long").groupBy("entry").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     total = per.where("entry = ''").collect()
     if not total or not total[0].n:
-        return {}, 0.0
+        return {}, 0.0, frozenset()
     docs_n, bad_n = int(total[0].n), int(total[0].bad)
     rate = min(max(bad_n / docs_n, 1e-4), 0.9)
     # candidates come to the driver only if toxic documents are the greater part: few, whatever the input
@@ -290,13 +333,17 @@ def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float
         gain = n * (p * math.log(p / rate) + ((1 - p) * math.log((1 - p) / (1 - rate)) if p < 1 else 0.0))
         if gain >= need:
             lexicon[r.entry] = (bad + 0.5) / (n + 1.0) * 0.98
-    return lexicon, 0.02
+    index = bare_entries(lexicon)
+    # words of three or more labelled documents, mostly harmless ones: their number is bounded by the sample
+    words = per.where((F.col("n") >= 3) & (F.col("bad") * 2 <= F.col("n")) & F.col("entry").rlike(r"(\p{L})\1|[\u00e0-\u00f6\u00f8-\u024f\u1e00-\u1eff]") & ~F.col("entry").endswith("-")).select("entry")
+    ordinary = frozenset(r.entry for r in words.toLocalIterator() if any(b in index for b in entries(bare(r.entry)))) if index else frozenset()
+    return lexicon, BASE, ordinary
 
 
-def scored(docs: DataFrame, lm: np.ndarray, lexicon: dict[str, float], base: float, threshold: float = THRESHOLD) -> DataFrame:
+def scored(docs: DataFrame, lm: np.ndarray, lexicon: dict[str, float], base: float, ordinary: frozenset[str] = frozenset(), threshold: float = THRESHOLD) -> DataFrame:
     """docs with score and predicted; all other columns stay."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((lm, lexicon, base))  # of fixed size, and as long as the sample allows
+    model = spark.sparkContext.broadcast((lm, lexicon, base, ordinary))  # of fixed size, and as long as the sample allows
     names = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     from pyspark.sql.types import DoubleType, StructField, StructType
@@ -312,7 +359,7 @@ def scored(docs: DataFrame, lm: np.ndarray, lexicon: dict[str, float], base: flo
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def model(docs: DataFrame, labels: DataFrame, train: Column | None = None) -> tuple[np.ndarray, dict[str, float], float]:
+def model(docs: DataFrame, labels: DataFrame, train: Column | None = None) -> tuple[np.ndarray, dict[str, float], float, frozenset[str]]:
     return (language_model(letter_counts(docs)), *learn(docs, sample(labels, train)))
 
 

@@ -243,6 +243,16 @@ def test_toxicity(spark):
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 4 == 2) for d, r in got.items())
 
 
+def test_hidden_words():
+    lm = toxicity.language_model(toxicity.np.ones(toxicity.LETTERS**toxicity.ORDER))
+    lexicon = {w: 0.9 for w in ("idiot", "asshole", "ass", "scoundrel", "loser", "god", "idio-")}
+    s = toxicity.Scorer(lm, lexicon, 0.02, frozenset({"good"}))
+    for w in ("idi07", "asshol3", "a$$", "scooundrel", "idiiot", "losér", "lós3r", "idiiots", "idi07.", "Lóser!"):
+        assert s.score(f"some {w} here") > 0.5, w
+    for w in ("good", "look", "été", "mp3", "wood."):
+        assert s.score(f"some {w} here") < 0.1, w
+
+
 def test_empty_tables(empty, spark):
     for op in (suffixes.op1, mixing.op2, near.op3, substrings.op4, lines.op5, packing.op9, fingerprints.op10):
         assert op(empty).count() == 0, op
