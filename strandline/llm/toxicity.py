@@ -12,10 +12,10 @@ letters alone with an equal pair or an accented Latin letter is looked up
 without them instead, unless the labelled rows show it to be an ordinary word.
 
 A document's score is one minus the product, over the lexicon entries found in
-it, of the odds that each is harmless, starting from the rate of toxic
-documents without any.
+it, of the odds that each is harmless, starting from BASE, a
+fixed value: documents without an entry all score BASE, whatever the labels.
 
-Edge cases.  Null and empty texts score that base rate.  Null ids are scored;
+Edge cases.  Null and empty texts score BASE.  Null ids are scored;
 they match no label.  Labels that contradict each other count as the largest.
 Repeated rows score alike.  Empty tables: empty result; without labels every
 score is 0.  Very long texts are read whole.
@@ -288,7 +288,7 @@ def sample(labels: DataFrame, train: Column | None = None, bound: int = SAMPLE)
 
 
 def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float, frozenset[str]]:
-    """The lexicon with each entry's share of toxic documents, and the rate of toxic ones without an entry.
+    """The lexicon with each entry's share of toxic documents, BASE (fixed, not measured), and ordinary words that look like entries but for equal pairs and accents.
 
     ``labelled`` holds at most SAMPLE rows, which is why it is broadcast.
     """
