@@ -50,12 +50,15 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def settle(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` in the cluster's shared folder and let go of the shuffles behind it.
 
-    The folder is spark.checkpoint.dir; only where that is unset (tests, a
-    laptop) a temporary one is made.
+    The folder is spark.checkpoint.dir; only where that is unset and the master
+    is local (tests, a laptop) a temporary one is made.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
     out = df.checkpoint(eager=True)
     del df  # the last reference to the plan that made them, so its shuffle files go
     out.isEmpty()  # Spark itself holds the plan of the last execution: let that be another

@@ -1,9 +1,10 @@
-"""Connected components of links, and verification of candidate groups in blocks."""
+"""Neighbours in a sorted order, verification of candidate links, connected components."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,61 +33,118 @@ def components(links: DataFrame) -> DataFrame:
         edges = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
 
-class Union:
-    def __init__(self, n: int):
-        self.up = list(range(n))
+Columns = dict[str, np.ndarray]
+#: Rows a sorted stream is compared in.
+CHUNK = 1 << 16
 
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = x = self.up[self.up[x]]
-        return x
 
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
+def neighbour_links(rows: DataFrame, order: list[str], group: list[str], kernel: Callable[[Columns], tuple[np.ndarray, np.ndarray]], reach: int) -> DataFrame:
+    """u, v, w: pairs that ``kernel`` finds among rows (long columns, no nulls) in the order of ``order``, and how often each was found.
+
+    The kernel gets stretches of the sorted rows and gives node pairs (u, v) of rows at most
+    ``reach`` places apart.  Rows are dealt by ranges of the whole order, so one
+    hot group spreads over as many tasks as its rows need; the ends of each range, 2 * reach
+    rows a task, meet in a step of their own.  ``group``: columns the kernel's pairs agree in.
+    """
+    names = rows.columns
+
+    def links(cols: Columns) -> pa.RecordBatch:
+        u, v = kernel(cols)
+        u, v = np.minimum(u, v), np.maximum(u, v)
+        u, v = u[u != v], v[u != v]
+        if len(u):
+            sort = np.lexsort((v, u))
+            u, v = u[sort], v[sort]
+            new = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])]))
+            u, v, w = u[new], v[new], np.diff(np.append(new, len(u)))
+        else:
+            w = u
+        none = pa.nulls(len(u), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(w.astype(np.int64)), *[none] * len(names)], names=["u", "v", "w", *names])
+
+    def run(batches: Iterator[pa.RecordBatch], edges: bool = True) -> Iterator[pa.RecordBatch]:
+        held, context, first = [], 0, True
+        tail: Columns | None = None
+
+        def end_rows(cols: Columns, part: slice) -> pa.RecordBatch:
+            some = [pa.array(cols[c][part]) for c in names]
+            none = pa.nulls(len(some[0]), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, none, *some], names=["u", "v", "w", *names])
+
+        def taken() -> Columns:
+            return {c: np.concatenate([b[c] for b in held]) for c in names}
+
+        for b in batches:
+            held.append({c: b.column(c).to_numpy(zero_copy_only=False) for c in names})
+            if sum(len(h[names[0]]) for h in held) - context < CHUNK:
+                continue
+            cols = taken()
+            n = len(cols[names[0]])
+            if first and edges:
+                yield end_rows(cols, slice(0, reach))
+            first = False
+            yield links(cols)
+            change = np.flatnonzero(np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in group]))
+            keep = min(n - 1 - int(change[-1]) if len(change) else n, CHUNK // 4)  # the last group may go on
+            keep = min(n, max(keep, reach))
+            held, context = [{c: cols[c][n - keep :] for c in names}], keep
+        if held:
+            cols = taken()
+            n = len(cols[names[0]])
+            if not n:
+                return
+            if first and edges:
+                yield end_rows(cols, slice(0, reach))
+            if edges:
+                yield end_rows(cols, slice(max(0, n - reach), n))
+            if first or n > context:
+                yield links(cols)
+
+    schema = ", ".join(f"{c} long" for c in ("u", "v", "w", *names))
+    found = settle(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(tidy(run), schema))
+    ends = found.where("u is null").select(*names).distinct().coalesce(1).sortWithinPartitions(*order)
+    inner = ends.mapInArrow(tidy(lambda b: run(b, False)), schema)
+    return found.where("u is not null").select("u", "v", "w").unionByName(inner.select("u", "v", "w")).groupBy("u", "v").agg(F.sum("w").alias("w"))
 
 
-def verified(members: DataFrame, kernel: Callable, rows: int = 512, size: int = 24 << 20) -> DataFrame:
-    """Links (u, v) among the members (grp, id: long; payload: binary) of each group.
+def confirmed(links: DataFrame, payloads: DataFrame, same: Callable[[bytes, bytes], bool]) -> DataFrame:
+    """node, label of the components of the links (u, v, w) whose payloads (id, payload) are ``same``.
 
-    Every pair of a group's members meets in exactly one task: groups are cut into
-    blocks by hash, and block pairs dealt out.  kernel(ids, payloads, split) gives
-    the pairs that link; with split > 0 only pairs across it count.  It may leave
-    out a pair whose ends the pairs it gives connect already.
+    Work is per link, never per pair of a group: first each node's likeliest
+    link (largest w), then of the others those whose ends are still apart.
     """
-    sizes = members.groupBy("grp").agg(F.count("*").alias("_n"), F.sum(F.octet_length("payload")).alias("_b"))
-    sizes = sizes.where("_n > 1").select("grp", F.ceil(F.greatest(F.col("_n") / rows, F.col("_b") / size)).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "grp").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("grp", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "id", "payload")
-    dealt = dealt.repartition("grp", "a", "b").sortWithinPartitions("grp", "a", "b", "own", "id")
+    both = links.select(F.col("u").alias("x"), F.col("v").alias("y"), "w").unionByName(links.select(F.col("v").alias("x"), F.col("u").alias("y"), "w"))
+    best = both.groupBy("x").agg(F.max(F.struct("w", "y")).alias("b")).select(F.least("x", "b.y").alias("u"), F.greatest("x", "b.y").alias("v")).distinct()
+    best = settle(best)
+    first = settle(verified(best, payloads, same))
+    known = components(first)
+    named = links.select("u", "v").join(best, ["u", "v"], "left_anti")
+    for c in "uv":
+        named = named.join(known.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
+    apart = settle(named.where(F.coalesce("lu", "u") != F.coalesce("lv", "v")).select("u", "v"))
+    second = settle(verified(apart, payloads, same))
+    if second.isEmpty():
+        return known
+    return components(first.unionByName(second))
+
+
+def verified(links: DataFrame, payloads: DataFrame, same: Callable[[bytes, bytes], bool]) -> DataFrame:
+    """The links (u, v) whose payloads are ``same``; a payload is shipped once for its node and once for each smaller partner."""
+    own = payloads.join(links.select(F.col("u").alias("id")).distinct(), "id", "left_semi").select("id", F.lit(None).cast("long").alias("other"), "payload")
+    partner = links.join(payloads, links.v == payloads.id).select(F.col("u").alias("id"), F.col("v").alias("other"), "payload")
+    rows = own.unionByName(partner).repartition("id").sortWithinPartitions("id", F.col("other").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, own, payloads = None, [], [], []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            if len(ids) < 2:
-                return
-            cross = key[1] != key[2]
-            split = own.index(key[2]) if cross and key[2] in own else 0
-            if cross and (split == 0 or own[0] == key[2]):
-                return
-            got = list(kernel(ids, payloads, split))
-            if got:
-                u, v = zip(*got, strict=True)
+        key, mine = None, None
+        for b in batches:
+            u, v = [], []
+            for i, o, p in zip(b.column("id").to_pylist(), b.column("other").to_pylist(), b.column("payload"), strict=True):
+                if o is None:
+                    key, mine = i, p.as_py()
+                elif i == key and same(mine, p.as_py()):
+                    u.append(i)
+                    v.append(o)
+            if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-        for batch in batches:
-            for g, a, b, o, i, p in zip(*[batch.column(c).to_pylist() for c in ("grp", "a", "b", "own", "id", "payload")], strict=True):
-                if (g, a, b) != key:
-                    yield from close()
-                    key, ids, own, payloads = (g, a, b), [], [], []
-                if ids and ids[-1] == i:
-                    continue  # a repeated row
-                ids.append(i)
-                own.append(o)
-                payloads.append(p)
-        yield from close()
-
-    return dealt.mapInArrow(tidy(run), "u long, v long")
+    return rows.mapInArrow(tidy(run), "u long, v long")

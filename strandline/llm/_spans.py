@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import flat, join_keyed, keyed, pieces, tidy
-from ._rolling import anchors
+from ._rolling import anchors, digests
 
 #: Text bytes a numpy pass holds at once (some 100 bytes of arrays for each).
 SLICE = 1 << 19
@@ -21,18 +21,20 @@ PHRASES = "doc_id long, th long, first int, n int, o int, trigger long, phrase l
 def phrases(docs: DataFrame, tokens: Callable, span: int, gram: int) -> DataFrame:
     """PHRASES of every document: runs of ``span``-token windows with a common trigger.
 
-    tokens(data, offsets) gives the slice's Prefix and the rows' offsets in tokens.
+    tokens(data, offsets) gives the slice's Prefix, the rows' offsets in tokens, bytes, and
+    where in them each token begins.  phrase is the BLAKE2b digest of a run's bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = flat(b.column("text"))
             for a, z in pieces(off, SLICE):
-                prefix, at = tokens(data[off[a] : off[z]], off[a : z + 1] - off[a])
+                prefix, at, raw, place = tokens(data[off[a] : off[z]], off[a : z + 1] - off[a])
                 got = anchors(prefix, at, span, gram)
                 if got is None:
                     continue
                 doc = pa.array(got["doc"] + a)
+                got["phrase"] = digests(raw, place[got["start"]], place[got["end"]])
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(doc), b.column("th").take(doc), *[pa.array(got[c].astype(np.int32)) for c in ("first", "n", "o")], pa.array(got["trigger"]), pa.array(got["phrase"])], names=["doc_id", "th", "first", "n", "o", "trigger", "phrase"])
 
     return keyed(docs).mapInArrow(tidy(run), PHRASES)

@@ -1,11 +1,13 @@
 """4. Substring dedup on token windows.
 
-Rabin-Karp hashes of every 50-word window, counted in Spark.  So that not every
-window has to be shuffled, windows are grouped first into phrases (runs of
-windows that share a trigger, see ``_rolling``): a window can only repeat where
-its trigger does.  A phrase that a smaller document holds too repeats as a
-whole; where distinct phrases share a trigger, their windows' hashes are
-counted one by one.  Repeated windows merge into maximal removal intervals.
+Rabin-Karp hashes roll over the words, and Spark counts windows by them.  So that
+not every 50-word window has to be shuffled, windows are grouped first into
+phrases (runs of windows that share a trigger, see ``_rolling``): a window can
+only repeat where its trigger, the smallest hash in it, does.  A phrase that a
+smaller document holds too repeats as a whole; where distinct phrases share a
+trigger, their windows are counted one by one.  Rolling hashes only propose:
+phrases and windows are one if their triggers and the 64-bit BLAKE2b digests of their very
+words agree.  Repeated windows merge into maximal removal intervals.
 
 Edge cases.  Null text: no words.  Fewer words than a window: nothing is
 removed.  A null id is neither smaller nor larger than another.  Repeats inside
@@ -23,15 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import flat, join_keyed, keyed, pieces, settle, tidy
-from ._rolling import Prefix, mix, words
+from ._rolling import Prefix, digests, mix, spaced, words
 from ._spans import SLICE, covered, phrases, sha256, with_spans
 
 SPAN, GRAM = 50, 16
 
 
-def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[Prefix, np.ndarray]:
-    _, _, h, at = words(data, off)
-    return Prefix(h), at
+def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[Prefix, np.ndarray, np.ndarray, np.ndarray]:
+    start, end, h, at = words(data, off)
+    return Prefix(h), at, *spaced(data, start, end)
 
 
 def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -50,7 +52,7 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
         for b in batches:
             data, off = flat(b.column("text"))
             for a, z in pieces(off, SLICE):
-                prefix, at = _tokens(data[off[a] : off[z]], off[a : z + 1] - off[a])
+                _, at, raw, place = _tokens(data[off[a] : off[z]], off[a : z + 1] - off[a])
                 runs = b.column("runs").slice(a, z - a).to_pylist()
                 doc = np.repeat(np.arange(z - a), [len(r) for r in runs])
                 first = np.array([x["first"] for r in runs for x in r], np.int64)
@@ -59,7 +61,7 @@ def repeated(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
                 local = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 doc = np.repeat(doc, n)
                 start = at[doc] + local
-                h = mix(prefix.of(start, start + span) ^ np.repeat(trigger, n).view(np.uint64))
+                h = mix(digests(raw, place[start], place[start + span]).view(np.uint64) ^ np.repeat(trigger, n).view(np.uint64))
                 take = pa.array(doc + a)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("th").take(take), pa.array(local.astype(np.int32)), pa.array(h.view(np.int64))], names=["doc_id", "th", "first", "window"])
 

@@ -41,8 +41,8 @@ CHUNK = 20_000
 _VALUES = seeds(256, 99)
 
 
-def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[Prefix, np.ndarray]:
-    return Prefix(_BYTE[data]), off
+def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[Prefix, np.ndarray, np.ndarray, np.ndarray]:
+    return Prefix(_BYTE[data]), off, data, np.arange(len(data) + 1)
 
 
 def _matrix(raw: np.ndarray, start: np.ndarray, length: np.ndarray, width: int, step: int) -> np.ndarray:

@@ -131,12 +131,22 @@ def test_short_lines(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.dedup_lines(spark, df, "").collect()) == [1, 3, 4, 5, 6]
 
 
-def test_line_groups_join():
-    import numpy as np
+def thue_morse(n):
+    """Two texts that every polynomial hash modulo 2**64 takes for one."""
+    odd = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[x] for x in odd), "".join("ba"[x] for x in odd)
 
-    place = np.array([100 << 42 | 50 << 21 | 60, 5, 101 << 42 | 50 << 21 | 59, 100 << 42 | 50 << 21 | 70, 1 << 63 | 100 << 42 | 50 << 21 | 60], np.uint64)
-    for step in (1, 2, 1024):
-        assert lines.connected(place, 0.9, step).tolist() == [0, 1, 0, 0, 4]
+
+def test_structured_texts_stay_apart(spark):
+    ship_package(spark)
+    a, b = thue_morse(1024)
+    df = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    assert all(r.kept for r in near.op3(df).collect())
+    before, after = " ".join(WORDS[:30]), " ".join(WORDS[30:60])
+    middle = spark.createDataFrame([(1, f"{before} {a} {after}"), (2, f"{before} {b} {after}")], "doc_id long, text string")
+    assert {r.n_removed for r in substrings.op4(middle).collect()} == {0}
+    words = [" ".join({"a": "left", "b": "right"}[c] for c in t) for t in (a, b)]
+    assert {r.n_removed for r in lines.op5(spark.createDataFrame([(1, words[0]), (2, words[1])], "doc_id long, text string")).collect()} == {0}
 
 
 def test_mixing(docs):
