@@ -3,7 +3,8 @@
 Gives exactly the ids of ``tokenizers`` (``encode(text, add_special_tokens=False)``)
 several times faster on running text: words are split and told apart by numpy,
 each distinct word is merged once, all words of a batch side by side, and
-frequent words are remembered.  Texts that hold an added token's string, and
+frequent words are remembered.  Words are found by hash and then compared letter by
+letter, with their like in the batch and with what is remembered.  Texts that hold an added token's string, and
 words over LONG bytes, go to the library itself.
 """
 
@@ -100,6 +101,7 @@ class Encoder:
         keys = np.array([vocab[a] << 20 | vocab[b] for a, b in merges], np.int64)
         self.pairs = Pairs(keys, np.arange(len(merges), dtype=np.int64), np.array([vocab[a + b] for a, b in merges], np.int64))
         self.hash, self.at, self.ids = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64), np.zeros(0, np.uint32)
+        self.texts = np.zeros(0, object)
         self.classes = classes()
         self.values = mix(np.arange(0x3000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(5))
 
@@ -180,6 +182,9 @@ class Encoder:
             v = np.where(low, v, mix(cp.astype(np.uint64) + np.uint64(1 << 40)))
         h = Prefix(v).of(start, end) + (end - start).astype(np.uint64)
         uniq, where, inverse = np.unique(h, return_index=True, return_inverse=True)
+        if not _alike(cp, start, end, where[inverse]):  # two words of one hash: the library knows better
+            parts = [np.array(self.library.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+            return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
         ids, at = self._words(joined, uniq, start[where], end[where])
         at = at[inverse]
         lengths = at[:, 1]
@@ -198,11 +203,17 @@ class Encoder:
         known = np.zeros(len(h), bool)
         inside = i < len(self.hash)
         known[inside] = self.hash[i[inside]] == h[inside]
+        every = np.empty(len(h), object)
+        every[:] = [joined[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        same = every[known] == self.texts[i[known]]
+        fresh = ~known
+        known[known] = same.astype(bool)
         at[known] = self.at[i[known]]
         new = np.flatnonzero(~known)
         if not len(new):
             return self.ids, at
-        texts = [joined[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
+        fresh = fresh[new]  # a word whose hash another one holds is not remembered
+        texts = every[new].tolist()
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         long = np.array([len(w) > LONG for w in raw])
         ids, n = self.merged([w for w in raw if len(w) <= LONG]) if not long.all() else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
@@ -218,12 +229,31 @@ class Encoder:
         at[new, 0], at[new, 1] = place + len(self.ids), counts
         ids = np.concatenate([self.ids, ids])
         if len(self.hash) < MEMO:
-            self.hash, self.at, self.ids = np.concatenate([self.hash, h[new]]), np.concatenate([self.at, at[new]]), ids
+            some = new[fresh]
+            self.hash, self.at, self.ids = np.concatenate([self.hash, h[some]]), np.concatenate([self.at, at[some]]), ids
+            self.texts = np.concatenate([self.texts, every[some]])
             order = np.argsort(self.hash)
-            self.hash, self.at = self.hash[order], self.at[order]
+            self.hash, self.at, self.texts = self.hash[order], self.at[order], self.texts[order]
         return ids, at
 
 
+def _alike(cp: np.ndarray, start: np.ndarray, end: np.ndarray, like: np.ndarray) -> bool:
+    """Whether each stretch of ``cp`` equals the one whose number ``like`` gives."""
+    n = (end - start).astype(np.int32)
+    if (n != n[like]).any():
+        return False
+    other = np.flatnonzero(like != np.arange(len(like)))
+    a, b, n = start[other].astype(np.int32), start[like[other]].astype(np.int32), n[other]
+    k = 0
+    while len(a):  # letter by letter, all words side by side
+        if (cp[a + k] != cp[b + k]).any():
+            return False
+        k += 1
+        more = n > k
+        a, b, n = a[more], b[more], n[more]
+    return True
+
+
 @functools.lru_cache(2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

@@ -47,6 +47,7 @@ def neighbour_links(rows: DataFrame, order: list[str], group: list[str], kernel:
     rows a task, meet in a step of their own.  ``group``: columns the kernel's pairs agree in.
     """
     names = rows.columns
+    end_type = pa.struct([(c, pa.int64()) for c in names])
 
     def links(cols: Columns) -> pa.RecordBatch:
         u, v = kernel(cols)
@@ -59,17 +60,16 @@ def neighbour_links(rows: DataFrame, order: list[str], group: list[str], kernel:
             u, v, w = u[new], v[new], np.diff(np.append(new, len(u)))
         else:
             w = u
-        none = pa.nulls(len(u), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(w.astype(np.int64)), *[none] * len(names)], names=["u", "v", "w", *names])
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(w.astype(np.int64)), pa.nulls(len(u), end_type)], names=["u", "v", "w", "end"])
 
     def run(batches: Iterator[pa.RecordBatch], edges: bool = True) -> Iterator[pa.RecordBatch]:
         held, context, first = [], 0, True
         tail: Columns | None = None
 
         def end_rows(cols: Columns, part: slice) -> pa.RecordBatch:
-            some = [pa.array(cols[c][part]) for c in names]
-            none = pa.nulls(len(some[0]), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, *some], names=["u", "v", "w", *names])
+            some = pa.StructArray.from_arrays([pa.array(cols[c][part]) for c in names], fields=list(end_type))
+            none = pa.nulls(len(some), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, none, some], names=["u", "v", "w", "end"])
 
         def taken() -> Columns:
             return {c: np.concatenate([b[c] for b in held]) for c in names}
@@ -100,9 +100,9 @@ def neighbour_links(rows: DataFrame, order: list[str], group: list[str], kernel:
             if first or n > context:
                 yield links(cols)
 
-    schema = ", ".join(f"{c} long" for c in ("u", "v", "w", *names))
+    schema = f"u long, v long, w long, end struct<{', '.join(f'{c}: long' for c in names)}>"
     found = settle(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(tidy(run), schema))
-    ends = found.where("u is null").select(*names).distinct().coalesce(1).sortWithinPartitions(*order)
+    ends = found.where("u is null").select("end.*").distinct().coalesce(1).sortWithinPartitions(*order)
     inner = ends.mapInArrow(tidy(lambda b: run(b, False)), schema)
     return found.where("u is not null").select("u", "v", "w").unionByName(inner.select("u", "v", "w")).groupBy("u", "v").agg(F.sum("w").alias("w"))
 

@@ -10,12 +10,17 @@ suffix of both outputs in the final rendering, or given up (None).
 The template here marks a turn ``<|role|>`` newline text ``<|end|>`` newline.
 All control strings, its own and those of other formats (</s>, [INST], <<SYS>>
 ...), begin with < or [; in texts and roles a backslash is doubled and one is
-put after every < and [, so no control string survives in a text, and
-``unescape`` gives the text back exactly.
+put after every < and [, in roles after every | too, so no control string survives, and
+``unescape`` gives both back exactly.
+
+Where a trained text stands in its turn is found by rendering too: the same
+prefix with two other texts in its place shows what comes before and behind.
 
 Edge cases.  Null text or role: empty.  Null turn: before all others; equal
 turns are ordered by role, then text.  Null conv_id: one conversation.
-Repeated rows are turns each.  Empty table: empty result.
+Repeated rows are turns each.  Empty table: empty result.  The control
+conversation of the query is formatted by itself: an input conversation -1 gives
+a row of its own.  A conversation is one output row, so one task holds it.
 """
 
 from __future__ import annotations
@@ -43,16 +48,24 @@ def unescape(text: str) -> str:
     return re.sub(r"([<\[\\])\\", r"\1", text)
 
 
+def escape_role(role: str) -> str:
+    return escape(role).replace("|", "|\\")
+
+
+def unescape_role(role: str) -> str:
+    return re.sub(r"([<\[\\|])\\", r"\1", role)
+
+
 def template(turns: Turns) -> str:
-    return "".join(f"{OPEN}{escape(r)}{CLOSE}{escape(t)}{END}" for r, t in turns)
+    return "".join(f"{OPEN}{escape_role(r)}{CLOSE}{escape(t)}{END}" for r, t in turns)
 
 
-_TURN = re.compile(r"<\|([^<]*?(?:<\\[^<]*?)*)\|>\n([^<]*(?:<\\[^<]*)*)<\|end\|>\n")
+_TURN = re.compile(r"<\|([^<|]*(?:[<|]\\[^<|]*)*)\|>\n([^<]*(?:<\\[^<]*)*)<\|end\|>\n")
 
 
 def read_back(formatted: str) -> Turns:
     """The turns of a formatted conversation."""
-    return [(unescape(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
+    return [(unescape_role(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
 @dataclass
@@ -79,10 +92,11 @@ def _grown(old: str, new: str) -> tuple[int, int]:
 def render(turns: Turns, template: Callable[[Turns], str] = template, trained: tuple[str, ...] = ("assistant",), shown: Callable[[str], str] = escape) -> Formatted:
     """Format turns with a black-box template and locate every turn and the loss.
 
-    ``shown`` is how the template writes a text; a trained turn's loss is the
-    last place in its span where that stands.
+    ``shown`` is how the template writes a text.  A trained turn's loss is what
+    differs between renders of its prefix with other texts in its place, if that is the
+    text as shown; else the turn has none.
     """
-    out, places, rewrites = template([]), [], False
+    out, places, ends, rewrites = template([]), [], [], False
     for k in range(1, len(turns) + 1):
         new = template(turns[:k])
         if new.startswith(out):
@@ -93,13 +107,15 @@ def render(turns: Turns, template: Callable[[Turns], str] = template, trained: t
             places = [p if p and p[1] <= a else None for p in places]
             places.append((a, b))
         out = new
+        ends.append(len(new))
     loss = []
-    for (role, text), p in zip(turns, places, strict=True):
+    for k, ((role, text), p) in enumerate(zip(turns, places, strict=True)):
         if role in trained and p and text:
-            s = shown(text)
-            at = out.rfind(s, *p)
-            if at >= 0:
-                loss.append((at, at + len(s)))
+            x, y = (template([*turns[:k], (role, probe)]) for probe in "ab")
+            a, b = _grown(x, y)
+            s, z = shown(text), ends[k] - (len(y) - b)
+            if out[a:z] == s and p[0] <= a and z <= p[1]:
+                loss.append((a, z))
     return Formatted(out, places, loss, rewrites)
 
 
@@ -144,8 +160,7 @@ CONTROL = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[
 
 
 def op8(conversations: DataFrame) -> DataFrame:
-    extra = conversations.sparkSession.createDataFrame(CONTROL, "conv_id long, turn long, role string, text string")
-    rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
+    control = conversations.sparkSession.createDataFrame(CONTROL, "conv_id long, turn long, role string, text string")
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,4 +173,4 @@ def op8(conversations: DataFrame) -> DataFrame:
                 out.append((row["conv_id"], len(turns), sha, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text), row["rewrites_history"]))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [[]] * 7, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()), strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewrites_history"])
 
-    return formatted(rows).mapInArrow(tidy(digest), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites_history boolean")
+    return formatted(conversations).unionByName(formatted(control)).mapInArrow(tidy(digest), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites_history boolean")

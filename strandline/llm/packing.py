@@ -30,8 +30,8 @@ from ._bpe import encoder
 
 CAPACITY, CLOSING = 2048, 1
 TOKENIZER = "word_bpe_49k.json"
-#: Documents a group: bounds a packing task (about 1.5 KB of left-over ids each).
-GROUP = 20_000
+#: Documents a group, on average: bounds a packing task (about 1.5 KB of left-over ids each).
+GROUP = 5_000
 #: Cost of a piece of n tokens: LINEAR * n + n * n.
 LINEAR = 4096
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -41,28 +41,60 @@ def cost(n: int) -> int:
     return LINEAR * n + n * n
 
 
+class Cheapest:
+    """Bins by room; the cheapest with at least so much room, in steps of the logarithm of the capacity."""
+
+    def __init__(self, capacity: int, bins: int):
+        self.n = 1 << capacity.bit_length()
+        self.heaps: list[list[tuple[int, int]]] = [[] for _ in range(self.n)]
+        self.best: list[tuple[int, int] | None] = [None] * (2 * self.n)
+        self.heaps[capacity] = [(0, b) for b in range(bins)]
+        self._up(capacity)
+
+    def _up(self, room: int) -> None:
+        k = room + self.n
+        self.best[k] = self.heaps[room][0] if self.heaps[room] else None
+        while k > 1:
+            k >>= 1
+            a, b = self.best[2 * k], self.best[2 * k + 1]
+            self.best[k] = a if b is None or (a is not None and a < b) else b
+
+    def put(self, room: int, cost: int, b: int) -> None:
+        heapq.heappush(self.heaps[room], (cost, b))
+        self._up(room)
+
+    def take(self, least: int, room: list[int]) -> tuple[int, int] | None:
+        """Cost and number of the cheapest bin with ``least`` room, taken out."""
+        found, a, z = None, least + self.n, 2 * self.n
+        while a < z:
+            for k in ([a] if a & 1 else []) + ([z - 1] if z & 1 else []):
+                if self.best[k] is not None and (found is None or self.best[k] < found):
+                    found = self.best[k]
+            a, z = (a + 1) >> 1, z >> 1
+        if found is not None:
+            heapq.heappop(self.heaps[room[found[1]]])
+            self._up(room[found[1]])
+        return found
+
+
 def assign(lengths: list[int], capacity: int = CAPACITY) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (item, start in item, length); every item is shorter than ``capacity``."""
     total = sum(lengths)
     bins: list[list[tuple[int, int, int]]] = [[] for _ in range(-(-total // capacity))]
     room = [capacity] * len(bins)
-    heap = [(0, b) for b in range(len(bins))]  # by cost
+    by_room = Cheapest(capacity, len(bins))
     late: list[int] = []
     for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
-        n, skipped = lengths[i], []
-        while heap and room[heap[0][1]] < n:
-            skipped.append(heapq.heappop(heap))
-        if heap:
-            c, b = heap[0]
-            bins[b].append((i, 0, n))
-            room[b] -= n
-            heapq.heapreplace(heap, (c + cost(n), b)) if room[b] else heapq.heappop(heap)
-            for x in skipped:
-                heapq.heappush(heap, x)
-        else:
+        n = lengths[i]
+        found = by_room.take(n, room)
+        if found is None:
             late.append(i)
-            heap = skipped
-            heapq.heapify(heap)
+            continue
+        c, b = found
+        bins[b].append((i, 0, n))
+        room[b] -= n
+        if room[b]:
+            by_room.put(room[b], c + cost(n), b)
     roomy = [(-room[b], b) for b in range(len(bins)) if room[b]]
     heapq.heapify(roomy)
     for i in late:
@@ -109,7 +141,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, closing: i
     crc = F.crc32("ids")
     parts = parts.withColumn("crc", crc).withColumn("n", (F.octet_length("ids") / 4).cast("long")).withColumn("ids", F.when(F.col("n") < capacity, F.col("ids")))
     parts = parts.withColumn("g", F.pmod(F.xxhash64("doc_id", "crc", "start"), F.lit(groups)).cast("long"))
-    dealt = parts.repartition(groups, "g").sortWithinPartitions("g", "doc_id", "start", "crc")
+    dealt = parts.repartitionById(groups, F.col("g").cast("int")).sortWithinPartitions("g", "doc_id", "start", "crc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, seq, tails = None, 0, []

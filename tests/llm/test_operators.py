@@ -96,7 +96,7 @@ def test_near_duplicates(docs):
 
 def test_lines(docs):
     assert lines.edit_distance("kitten", "sitting", 9) == 3 and lines.edit_distance("abc", "xyz", 2) == 3 and lines.edit_distance("ab" * 50, "ba" * 50, 9) == 2
-    out = {(r.doc_id, r.kept) for r in lines.dedup(docs).collect()}
+    out = {(r.row.doc_id, r.kept) for r in lines.dedup(docs).collect()}
     shared = "The shared line of every document is long enough to be compared here"
     assert sum(shared in (k or "") for _, k in out) == 1
     assert (12, "x") not in out and (21, "x") in out and (18, None) in out
@@ -106,7 +106,7 @@ def test_fuzzy_lines(spark):
     ship_package(spark)
     a = " ".join(WORDS[:60])
     df = spark.createDataFrame([(1, a), (2, a.replace(WORDS[30], "other")), (3, " ".join(WORDS[100:160])), (4, a.upper() + "!!")], "doc_id long, text string")
-    kept = {r.doc_id: r.n_removed for r in lines.dedup(df).collect()}
+    kept = {r.row.doc_id: r.n_removed for r in lines.dedup(df).collect()}
     assert kept[1] == 0 and kept[3] == 0 and kept[4] == 1
 
 
@@ -115,7 +115,7 @@ def test_changed_lines(spark):
     a, b = " ".join(WORDS[:60]), " ".join(WORDS[200:210])
     han = "".join(chr(0x4E00 + i * 7919 % 9973) for i in range(40))
     rows = [(1, a), (2, a.replace(WORDS[30], "other")), (3, b), (4, b.replace(WORDS[204], WORDS[204] + "s")), (5, han), (6, han[:20] + "\u3042" + han[21:]), (7, "ha" * 60), (8, "ha" * 61), (9, " ".join(WORDS[400:430])), (10, " ".join([*WORDS[400:415], *WORDS[600:615]]))]
-    kept = {r.doc_id: r.n_removed for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kept = {r.row.doc_id: r.n_removed for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {1: 0, 2: 1, 3: 0, 4: 1, 5: 0, 6: 1, 7: 0, 8: 1, 9: 0, 10: 0}
 
 
@@ -126,7 +126,7 @@ def test_short_lines(spark):
     text = "All rights reserved\n\n***\n" + " ".join(WORDS[:40])
     rows = [(1, text), (2, text), (3, "ALL RIGHTS RESERVED.\nall rights deserved"), (4, "\n--\n"), (5, "好\n" + " ".join(WORDS[50:80])), (6, "好\nx")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.n_removed, r.kept) for r in lines.dedup(df).collect()}
+    got = {r.row.doc_id: (r.n_removed, r.kept) for r in lines.dedup(df).collect()}
     assert got == {1: (0, text), 2: (2, "\n***"), 3: (1, "all rights deserved"), 4: (0, rows[3][1]), 5: (0, rows[4][1]), 6: (1, "x")}
     assert sorted(r.doc_id for r in corpus_pipeline.dedup_lines(spark, df, "").collect()) == [1, 3, 4, 5, 6]
 
@@ -167,15 +167,21 @@ def test_mixing(docs):
 
 
 def test_fit():
-    lengths, counts = [3, 5, 11, 100], [4, 4, 2, 3]
-    sums = {0}
-    for n, c in zip(lengths, counts, strict=True):
-        sums = {s + k * n for s in sums for k in range(c + 1)}
-    for budget in range(0, 360, 7):
+    import random
+
+    rnd = random.Random(7)
+    for _ in range(200):
+        lengths = rnd.sample(range(1, 400), rnd.randint(1, 12))
+        counts = [rnd.randint(1, 20) for _ in lengths]
+        sums = {0}
+        for n, c in zip(lengths, counts, strict=True):
+            sums = {s + k * n for s in sums for k in range(c + 1)} if len(sums) < 4000 else {s + k * n for s in range(sum(x * y for x, y in zip(lengths, counts, strict=True))) if s in sums for k in range(c + 1)}
+        budget = rnd.randint(0, sum(n * c for n, c in zip(lengths, counts, strict=True)))
         take = mixing.fit(lengths, counts, budget)
         assert all(0 <= t <= c for t, c in zip(take, counts, strict=True))
-        got = sum(t * n for t, n in zip(take, lengths, strict=True))
-        assert got <= budget and max(s for s in sums if s <= budget) - got <= 8
+        assert sum(t * n for t, n in zip(take, lengths, strict=True)) == max(s for s in sums if s <= budget)
+    big = mixing.fit([3, 700, 20_000], [10**6, 10**5, 10**4], 150_000_001)
+    assert 150_000_001 - sum(t * n for t, n in zip(big, [3, 700, 20_000], strict=True)) <= 2
 
 
 def test_neighbours(spark):
@@ -206,6 +212,38 @@ def test_chat(spark):
     assert chat.render([("user", "a"), ("assistant", "b")], lambda ts: f"{len(ts)}:" + "".join(t for _, t in ts)).rewrites_history
 
 
+def test_neighbours_of_many_dimensions(spark):
+    ship_package(spark)
+    rnd = neighbours.np.random.default_rng(5)
+    x = rnd.normal(size=(60, 4096)) + 3.0
+    df = spark.createDataFrame([(i, v.tolist(), i) for i, v in enumerate(x)], "vec_id long, embedding array<double>, h int")
+    got = {(r.query_id, r["rank"]): r.vec_id for r in neighbours.op6(df).collect()}
+    for q in (0, 20, 40):
+        s = x @ x[q]
+        best = sorted((i for i in range(60) if i != q), key=lambda i: (-s[i], i))[:20]
+        assert [got[q, k + 1] for k in range(20)] == best
+    codes = rnd.integers(120, 128, size=(3, 4096)).astype(neighbours.np.int8)
+    assert (neighbours.products(codes, codes) == codes.astype(neighbours.np.int64) @ codes.T.astype(neighbours.np.int64)).all()
+
+
+def test_chat_masks_and_roles(spark):
+    ship_package(spark)
+    texts = ["end", "|", ">", "\n", "<|end|>", "|>\n", "a", "\\", "[", "x|>"]
+    rows = [(i, 0, "assistant", t) for i, t in enumerate(texts)] + [(50, 0, "a|>\nb", "t"), (50, 1, "|\\|<[", "u"), (-1, 0, "user", "own")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
+    for c in chat.formatted(df).collect():
+        own = [(r, t) for i, _, r, t in rows if i == c.conv_id]
+        assert chat.read_back(c.formatted) == own
+        loss = [c.formatted[a:z] for a, z in zip(c.loss_starts, c.loss_ends, strict=True)]
+        assert loss == [chat.escape(t) for r, t in own if r == "assistant"]
+        for (a, _), (role, _) in zip(zip(c.loss_starts, c.loss_ends, strict=True), own, strict=False):
+            assert a == len(chat.OPEN + chat.escape_role(role) + chat.CLOSE)
+    assert sorted(r.n_turns for r in chat.op8(df).where("conv_id = -1").collect()) == [1, 2]
+    system_first = lambda ts: "".join(f"<{r}>{chat.escape(t)}</{r}>" for r, t in ts)
+    f = chat.render([("user", "q"), ("assistant", "</assistant>")], system_first)
+    assert [f.text[a:z] for a, z in f.loss] == [chat.escape("</assistant>")]
+
+
 def test_packing(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -223,6 +261,32 @@ def test_packing(docs):
         assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 2048
 
 
+def test_encoder_tells_equal_hashes_apart():
+    import public_tokenizers
+
+    from strandline.llm._bpe import Encoder
+
+    enc = Encoder(public_tokenizers.path(packing.TOKENIZER))
+    a, b = thue_morse(1024)
+    for texts in ([a, b], [f"so {a} it", f"so {b} it", "so it is"], ["so it", "it so"], [b]):
+        ids, off = enc.encode(texts)
+        assert [ids[x:y].tolist() for x, y in zip(off[:-1], off[1:], strict=True)] == [enc.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_little_padding():
+    import random
+
+    rnd = random.Random(2)
+    for most in (30, 700, 2047):
+        lengths = [rnd.randint(1, most) for _ in range(3000)]
+        out = packing.assign(lengths)
+        assert len(out) == -(-sum(lengths) // packing.CAPACITY)
+        pieces = sorted(p for b in out for p in b)
+        assert all(sum(n for _, _, n in b) <= packing.CAPACITY for b in out)
+        whole = {i: sum(n for j, _, n in pieces if j == i) for i in range(0, 3000, 300)}
+        assert all(whole[i] == lengths[i] for i in whole)
+
+
 def test_fingerprints(docs, spark):
     rows = sorted(((r[0], r[1] or "") for r in all_rows()), key=lambda r: r[0])
     got = fingerprints.op10(docs).collect()
