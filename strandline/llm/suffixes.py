@@ -1,18 +1,23 @@
 """1. Suffix-array dedup by prefix-free parsing, on bytes.
 
-Parsing: the trigger of a 200-byte string is the leftmost smallest rolling hash
-of its 32-byte grams; consecutive strings that share a trigger make a phrase,
-so phrases overlap by 199 bytes and each 200-byte string of the corpus lies in
-exactly one phrase occurrence.  Dictionary: phrases by hash, each distinct one
-kept once; an occurrence of a phrase that occurs twice repeats as a whole and
-needs no comparison.  The other phrases are compared only with those of the
-same trigger: what stands before the trigger (a dictionary suffix) and what
-follows it (a suffix of the parse) are sorted with their longest common
-prefixes, and both suffix arrays together give the corpus order of the
-200-byte strings: two are equal exactly if no adjacent prefix between them is
-too short in either.  All comparisons are of bytes.
-
-A trigger with more than HOT distinct phrases is split by what its strings
+Dealing out.  The trigger of a 200-byte string is the leftmost smallest rolling
+hash of its 32-byte grams; consecutive strings that share one make a stretch,
+so stretches overlap by 199 bytes and each 200-byte string of the corpus lies
+in exactly one.  Equal strings have equal triggers, so stretches are grouped
+by trigger.  Stretches that repeat as a whole (equal trigger and 64-bit BLAKE2b digest
+of their bytes) repeat in every string; of them one takes part in what follows, beside all
+others whose trigger repeats.
+
+Prefix-free parsing, inside a group (of some thousand groups, a task takes a
+few at a time): a second, finer trigger, WIDTH bytes whose hash is divisible by MOD, cuts
+each stretch into phrases that overlap by WIDTH bytes, so none of their
+suffixes longer than that is a proper prefix of another.  The dictionary holds each distinct phrase once; its suffix
+array and that of the parse (the sequence of phrases) are made by prefix
+doubling; a suffix of the text is a suffix of a phrase followed by a suffix of the parse, and the
+ranks of both give the corpus order.  Strings that agree in 200 bytes
+with a neighbour in that order, compared byte by byte, repeat.
+
+A trigger with more than HOT distinct stretches is split by what its strings
 have in common around it (SLICES of trigger offsets), so no group grows with
 the corpus unless its members agree on nearly all of a string.
 
@@ -35,9 +40,11 @@ from ._rolling import _BYTE, Prefix, mix, seeds
 from ._spans import covered, phrases, sha256, with_spans
 
 SPAN, GRAM = 200, 32
-HOT, SLICES = 20_000, 24
-#: Phrases compared in one pass.
-CHUNK = 20_000
+HOT, SLICES = 4_000, 24
+#: Stretches ordered in one pass, if no group is larger.
+CHUNK = 2_000
+#: The finer triggers.
+WIDTH, MOD = 6, 12
 _VALUES = seeds(256, 99)
 
 
@@ -45,57 +52,114 @@ def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[Prefix, np.ndarray, np.n
     return Prefix(_BYTE[data]), off, data, np.arange(len(data) + 1)
 
 
-def _matrix(raw: np.ndarray, start: np.ndarray, length: np.ndarray, width: int, step: int) -> np.ndarray:
-    """Bytes from each start on (backwards for step -1), zero-padded to width."""
-    cols = np.arange(width)
-    at = start[:, None] + step * cols[None, :]
-    inside = cols[None, :] < length[:, None]
-    return np.where(inside, raw[np.where(inside, at, 0)], 0).astype(np.uint8)
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Ranks of keys, equal ones alike, from 0."""
+    order = np.argsort(key)
+    key = key[order]
+    out = np.empty(len(key), np.int64)
+    out[order] = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]).astype(np.int64)])) if len(key) else 0
+    return out
 
 
-def suffix_array(m: np.ndarray, length: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rows by (group, bytes) and the common prefix of each with the row before it in that order (-1: another group)."""
-    width = m.shape[1]
-    order = np.lexsort((length, np.ascontiguousarray(m).view(f"S{width}").ravel(), group)) if width else np.lexsort((length, group))
-    a, b = m[order[1:]], m[order[:-1]]
-    differ = a != b
-    lcp = np.where(differ.any(axis=1), differ.argmax(axis=1), width) if width else np.zeros(len(order) - 1, np.int64)
-    lcp = np.minimum(lcp, np.minimum(length[order[1:]], length[order[:-1]]))
-    lcp = np.where(group[order[1:]] == group[order[:-1]], lcp, -1)
-    return order, np.concatenate([[-1], lcp])
+def suffix_ranks(symbols: np.ndarray, left: np.ndarray, h: int) -> np.ndarray:
+    """Ranks of the suffixes of sequences that lie one after the other, equal suffixes alike, by prefix doubling.
 
-
-def repeated_windows(group: np.ndarray, blobs: list[bytes], o: np.ndarray, n: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, window) pairs of the windows that equal a window of another phrase of the group.
-
-    o: bytes of each phrase before its trigger; n: its windows.
+    symbols: keys that order the suffixes by their first ``h`` symbols; left: symbols of the suffix.
+    """
+    rank, longest = _dense(symbols), int(left.max(initial=0))
+    while h < longest:
+        top = int(rank.max()) + 1
+        if top == len(rank):
+            break
+        at = np.flatnonzero(left > h)
+        behind = np.zeros(len(rank), np.int64)
+        behind[at] = rank[at + h] + 1
+        rank = _dense(rank * (top + 1) + behind)
+        h *= 2
+    return rank
+
+
+def phrases_of(raw: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prefix-free parse of texts: where phrases start and end, and their texts.
+
+    A phrase runs from a trigger (or its text's start) to the end of the next trigger (or of the text).
+    """
+    end = begin + length
+    g = Prefix(_VALUES[raw]).grams(WIDTH)
+    at = np.flatnonzero(g % np.uint64(MOD) == 0)
+    text = np.searchsorted(begin, at, "right") - 1
+    at = at[(at > begin[text]) & (at + WIDTH < end[text])]
+    start = np.union1d(at, begin[length > 0])
+    text = np.searchsorted(begin, start, "right") - 1
+    last = np.append(text[1:] != text[:-1], True) if len(text) else np.zeros(0, bool)
+    stop = np.where(last, end[text], np.append(start[1:], 0) + WIDTH) if len(start) else start
+    return start, stop, text
+
+
+def corpus_order(raw: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two keys for each byte of texts that lie one after the other; by both the suffixes of all texts are in order, a text's end before all bytes.
+
+    The first is the rank of the suffix of its phrase in the dictionary's suffix array, the
+    second the rank of the parse's suffix behind that phrase.
     """
-    length = np.array([len(b) for b in blobs], np.int64)
-    raw = np.frombuffer(b"".join(blobs), np.uint8)
-    begin = np.cumsum(length) - length
-    right, left = length - o, o
-    ro, rl = suffix_array(_matrix(raw, begin + o, right, int(right.max()), 1), right, group)
-    lo, ll = suffix_array(_matrix(raw, begin + o - 1, left, int(left.max()), -1), left, group)
-    low = o - n + 1
-    who, where = [], []
-    rc, lc = np.empty(len(o), np.int64), np.empty(len(o), np.int64)
-    for depth in range(int(low.min()), int(o.max()) + 1):
-        live = np.flatnonzero((low <= depth) & (depth <= o))
-        if len(live) < 2:
-            continue
-        rc[ro] = np.cumsum(rl < span - depth)
-        lc[lo] = np.cumsum(ll < depth)
-        key = lc[live] * (len(o) + 1) + rc[live]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        same = key[1:] == key[:-1]
-        dup = np.zeros(len(live), bool)
-        dup[1:] |= same
-        dup[:-1] |= same
-        hit = live[order[dup]]
-        who.append(hit)
-        where.append(o[hit] - depth)
-    return (np.concatenate(who), np.concatenate(where)) if who else (np.zeros(0, np.int64),) * 2
+    start, stop, text = phrases_of(raw, begin, length)
+    n = stop - start
+    off = np.concatenate([[0], np.cumsum(n)])
+    flat_at = np.arange(int(off[-1])) + np.repeat(start - off[:-1], n)
+    blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[flat_at]))])
+    coded = blobs.dictionary_encode()
+    which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    # the dictionary, its phrases one after the other, and the suffix array of all their suffixes
+    words, at = flat(coded.dictionary)
+    size = np.diff(at)
+    left = np.repeat(at[1:], size) - np.arange(len(words))
+    # a phrase that ends its text ends before all bytes; one that ends in a trigger is followed by the parse
+    symbol = words.astype(np.int64) + 1
+    key = np.zeros(len(words), np.int64)
+    for k in range(7):  # seven symbols of nine bits
+        here = np.zeros(len(words), np.int64)
+        here[: len(words) - k] = symbol[k:]
+        key = key << 9 | np.where(left > k, here, 0)
+    ranks = suffix_ranks(key, left, 7)
+    # the parse over the phrases' ranks, and its suffix array
+    last = np.append(text[1:] != text[:-1], True) if len(text) else np.zeros(0, bool)
+    parse = ranks[at[which]] + 1
+    ends = np.flatnonzero(last)
+    remain = np.repeat(ends, np.diff(np.concatenate([[-1], ends]))) - np.arange(len(parse)) + 1
+    parse_ranks = suffix_ranks(parse, remain, 1)
+    behind = np.where(last, 0, np.append(parse_ranks[1:], 0) + 1)
+    # each byte in the last phrase that starts at it or before
+    phrase = np.searchsorted(start, np.arange(len(raw)), "right") - 1
+    return ranks[at[which[phrase]] + np.arange(len(raw)) - start[phrase]], behind[phrase]
+
+
+def agree(raw: np.ndarray, a: np.ndarray, b: np.ndarray, span: int) -> np.ndarray:
+    """Whether raw[a:a+span] equals raw[b:b+span], elementwise, eight bytes at a time."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = sum(padded[k : k + len(raw)].astype(np.uint64) << np.uint64(8 * k) for k in range(8))
+    alive = np.arange(len(a))
+    for k in [*range(0, span - 8, 8), span - 8]:
+        alive = alive[eight[a[alive] + k] == eight[b[alive] + k]]
+    out = np.zeros(len(a), bool)
+    out[alive] = True
+    return out
+
+
+def repeated_windows(blobs: pa.Array, n: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(stretch, window) pairs of the windows that equal another one; n: windows of each stretch, span - 1 bytes less than it is long."""
+    raw, off = flat(blobs)
+    first, second = corpus_order(raw, off[:-1], np.diff(off))
+    who = np.repeat(np.arange(len(n)), n)
+    where = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
+    at = off[:-1][who] + where
+    order = np.lexsort((second[at], first[at]))
+    at = at[order]
+    same = agree(raw, at[1:], at[:-1], span)
+    hit = np.zeros(len(at), bool)
+    hit[1:] |= same
+    hit[:-1] |= same
+    hit = order[hit]
+    return who[hit], where[hit]
 
 
 def _fetch(span: int, hot: int, slices: int):
@@ -138,7 +202,7 @@ def _rows(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _compare(span: int):
-    """Streams groups of equal key, sorted; yields the repeated windows of phrases that occur once."""
+    """Streams groups of equal key, sorted; yields the repeated windows of stretches that occur once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -155,10 +219,8 @@ def _compare(span: int):
             if not len(keep):
                 return
             part = part.take(pa.array(keep))
-            key = key[keep]
-            group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]).astype(np.int64)]))
-            o, n, c = (part.column(x).to_numpy().astype(np.int64) for x in ("o", "n", "c"))
-            who, where = repeated_windows(group, part.column("bytes").to_pylist(), o, n, span)
+            n, c = (part.column(x).to_numpy().astype(np.int64) for x in ("n", "c"))
+            who, where = repeated_windows(part.column("bytes").combine_chunks(), n, span)
             once = c[who] == 1
             who, where = who[once], where[once]
             order = np.lexsort((where, who))

@@ -61,6 +61,25 @@ def test_suffix_array(docs):
     assert sorted(tuple(r) for r in hot.collect()) == sorted(want)
 
 
+def test_corpus_order():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    for letters in (2, 4, 26):
+        texts = [bytes(rnd.integers(97, 97 + letters, size=n).astype(np.uint8)) for n in (1, 5, 300, 40, 0, 700)]
+        texts += [texts[2], texts[5][100:500], texts[2] + texts[5], b"\0\0a" * 30]
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        length = np.array([len(t) for t in texts])
+        begin = np.cumsum(length) - length
+        first, second = suffixes.corpus_order(raw, begin, length)
+        suffix = [texts[i][k:] for i in range(len(texts)) for k in range(len(texts[i]))]
+        plain = {s: r for r, s in enumerate(sorted(set(suffix)))}  # a plain suffix array, equal suffixes alike
+        keys = sorted(set(zip(first.tolist(), second.tolist(), strict=True)))
+        mine = {k: r for r, k in enumerate(keys)}
+        assert [mine[k] for k in zip(first.tolist(), second.tolist(), strict=True)] == [plain[s] for s in suffix]
+        assert len(suffixes.phrases_of(raw, begin, length)[0]) > len(texts)
+
+
 def test_substrings(docs):
     rows = [(r[0], tokens(r[1])) for r in all_rows()]
     first = {}
