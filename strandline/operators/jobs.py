@@ -19,8 +19,8 @@ from ..functions.config import RESERVED, Job
 from ..functions.naming import file_name, high_water, pending_days
 from ..functions.times import Before, compared, day_of, in_days, today
 from ..plans import relational as R
-from ..sources.archive import Archive, first_of_each
-from ..sources.hot import HotTable
+from ..sources.archive import PREFERRED, Archive, first_of_each
+from ..sources.hot import HotTable, WritersActive
 from .writer import Segment, numbered, write
 
 
@@ -94,15 +94,22 @@ class ArchiveJob:
     def export(self, now: datetime, dry_run: bool = False, on_file: Callable | None = None) -> ExportResult:
         job, c = self.job, self.job.cursor
         mark, rows, bound = high_water(self.archive.files()), self.hot.scan(), None
-        if job.guard and (cap := self.hot.write_guard()) is not None:
-            if mark is not None and cap <= mark:
+        cap = None
+        if job.guard:
+            try:
+                cap = self.hot.write_guard(job.safety_lag_seconds)
+            except WritersActive:
                 return ExportResult("stalled")
+            if cap is not None and mark is not None and cap <= mark:
+                return ExportResult("stalled")
+        if cap is not None:
             rows = rows.where(F.col(c) <= cap)
         if job.safety_lag_seconds > 0:
             bound = R.safe_bound(rows, c, self._before(now - timedelta(seconds=job.safety_lag_seconds)), mark, job.export_rows).first().bound
             if bound is None:
                 return ExportResult("empty")
-        some = R.batch(rows, c, mark, bound, job.export_rows)
+        bound = min((x for x in (bound, cap) if x is not None), default=None)
+        some = self.hot.batch(mark, bound, job.export_rows)
         if dry_run:
             s = R.summary(some, c).first()
             return ExportResult("dry-run" if s.n else "empty", s.n, s.min_id, s.max_id)
@@ -128,20 +135,16 @@ class ArchiveJob:
         if len(files) == 1:
             self.archive.store.rename(files[0].path, target)
             return CompactResult("ok", dt, file=target, merged=1)
-        rows = self.archive.read_files(files)
-        c = self.job.cursor
+        rows, c = self.archive.read_files(files, "_file"), self.job.cursor
         expected = rows.agg(F.countDistinct(c)).first()[0]
-        merged = first_of_each(rows.withColumn("_k", F.lit(0)), c, ["_k"]).drop("_k").persist()
-        try:
-            got = merged.count()
+        merged = first_of_each(rows, c, PREFERRED).drop("_file", "dt").withColumn("dt", F.lit(dt)).withColumn("seg", F.lit(0))
+
+        def counted(segment: Segment, staged: str) -> None:
+            got = self.spark.read.parquet(staged).count()
             if got != expected:
-                raise Refused(f"{dt}: {got} rows merged, {expected} expected; the sources stay")
-            write(self.archive, merged.drop("dt").withColumn("dt", F.lit(dt)).withColumn("seg", F.lit(0)), [Segment(0, dt, low, top, got)], "data")
-        finally:
-            merged.unpersist()
-        written = self.spark.read.parquet(target).count()
-        if written != expected:
-            raise Refused(f"{dt}: {written} rows written, {expected} expected; the sources stay")
+                raise Refused(f"{dt}: {got} rows merged, {expected} expected; nothing is published, the sources stay")
+
+        write(self.archive, merged, [Segment(0, dt, low, top, expected)], "data", check=counted)
         for f in files:
             if f.path != target:
                 self.archive.store.delete(f.path)
@@ -178,17 +181,26 @@ class ArchiveJob:
         return PurgeResult("ok", s.n, deleted, batches)
 
     # backfill ---------------------------------------------------------------------
-    def backfill(self, first: str, last: str, force: bool = False) -> BackfillResult:
+    def gap(self, first: str, last: str) -> int:
+        """Rows outside the days that a backfill of them would let the high-water mark pass over."""
+        job, c, mark = self.job, self.job.cursor, high_water(self.archive.files())
+        rows, inside = self.hot.scan(), in_days(job.time_column, first, last, job.encoding, job.tz)
+        top = rows.where(inside).agg(F.max(c)).first()[0]
+        if top is None:
+            return 0
+        return rows.where(~inside & (F.lit(True) if mark is None else F.col(c) > mark) & (F.col(c) <= top)).count()
+
+    def backfill(self, first: str, last: str, force: bool = False, on_day: Callable[[str, int, int], None] | None = None) -> BackfillResult:
+        """``on_day`` hears of each day as its file is published: the day, its rows, and how many rows are done."""
         job, c = self.job, self.job.cursor
         files = self.archive.files()
         mark, rows, out = high_water(files), self.hot.scan(), BackfillResult()
         inside = in_days(job.time_column, first, last, job.encoding, job.tz)
-        top = rows.where(inside).agg(F.max(c)).first()[0]
-        if top is None:
+        if rows.where(inside).isEmpty():
             out.days = {d: "empty" for d in _days(first, last)}
             return out
         above = F.lit(True) if mark is None else F.col(c) > mark
-        gap = rows.where(~inside & above & (F.col(c) <= top)).count()
+        gap = self.gap(first, last)
         if gap and not force:
             raise Refused(f"{gap} rows outside the days would be passed over by the high-water mark")
         spans = R.day_spans(rows.where(inside), c, self.day())
@@ -210,7 +222,15 @@ class ArchiveJob:
                 out.days[d], out.rows = "ok", out.rows + int(r.n)
         if todo:
             some = rows.where(inside).withColumn("dt", self.day()).where(F.col("dt").isin([s.dt for s in todo]))
-            write(self.archive, numbered(some), todo, "data")
+            done = 0
+
+            def published(segment: Segment, name: str) -> None:
+                nonlocal done
+                done += segment.rows
+                if on_day:
+                    on_day(segment.dt, segment.rows, done)
+
+            write(self.archive, numbered(some), todo, "data", published)
         return out
 
     def earliest_day(self) -> str | None:

@@ -36,8 +36,22 @@ def _children(node) -> list:
     return seq(node.children())
 
 
+@dataclass
+class Admitted:
+    """What a statement reads: table names, the stretches of its text that name something in a database, and the days each table is asked for."""
+
+    tables: set[str]
+    #: (first character, last character, parts, whether it has an alias of its own; None: a column)
+    names: list[tuple[int, int, list[str], bool | None]]
+    days: dict[str, tuple[str | None, str | None]]
+
+
 def check(spark: SparkSession, sql: str, tables: set[str], strict: bool = False) -> set[str]:
-    """The registered tables a single SELECT reads; Rejected for anything else.
+    return admitted(spark, sql, tables, strict).tables
+
+
+def admitted(spark: SparkSession, sql: str, tables: set[str], strict: bool = False) -> Admitted:
+    """What a single SELECT over registered tables reads; Rejected for anything else.
 
     strict: no table functions and no set operation on top.
     """
@@ -49,6 +63,13 @@ def check(spark: SparkSession, sql: str, tables: set[str], strict: bool = False)
     except Exception as e:
         raise Rejected("the statement does not parse") from e
     used: set[str] = set()
+    names: list[tuple[int, int, list[str], bool | None]] = []
+    asked: dict[str, list[tuple[str | None, str | None]]] = {}
+
+    def placed(node, parts: list[str], alias: bool | None) -> None:
+        o = node.origin()
+        if o.startIndex().isDefined() and o.stopIndex().isDefined():
+            names.append((o.startIndex().get(), o.stopIndex().get(), parts, alias))
 
     def seq(s) -> list:
         return [s.apply(i) for i in range(s.size())]
@@ -58,8 +79,12 @@ def check(spark: SparkSession, sql: str, tables: set[str], strict: bool = False)
         if name == "UnresolvedFunction":
             if seq(e.nameParts())[-1].lower() in FORBIDDEN or e.nameParts().size() > 1:
                 raise Rejected("a function is not allowed")
-        elif name == "UnresolvedAttribute" and any(str(p).lower() == "_metadata" for p in seq(e.nameParts())):
-            raise Rejected("file metadata is not served")
+        elif name == "UnresolvedAttribute":
+            parts = [str(p) for p in seq(e.nameParts())]
+            if any(p.lower() == "_metadata" for p in parts):
+                raise Rejected("file metadata is not served")
+            if len(parts) > 2 and ".".join(parts[:2]).lower() in tables:
+                placed(e, parts, None)
         elif name in ("ExpressionWithUnresolvedIdentifier", "ScalarSubqueryWithUnresolvedIdentifier"):
             raise Rejected("IDENTIFIER() is not allowed")
         if hasattr(e, "plan") and name in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "FunctionTableSubqueryArgumentExpression"):
@@ -67,7 +92,8 @@ def check(spark: SparkSession, sql: str, tables: set[str], strict: bool = False)
         for c in seq(e.children()):
             expression(c, scope)
 
-    def walk(p, scope: set[str]) -> None:
+    def walk(p, scope: set[str], days: tuple = (None, None), alias: bool = False) -> None:
+        """days: what the filters right above ask of the column dt; alias: whether the node's name is one."""
         name = p.getClass().getSimpleName()
         if name not in PLAN_NODES:
             raise Rejected(f"{name} is not allowed")
@@ -87,18 +113,71 @@ def check(spark: SparkSession, sql: str, tables: set[str], strict: bool = False)
                 if key not in tables:
                     raise Rejected("unknown table")
                 used.add(key)
+                asked.setdefault(key, []).append(days)
+                if len(parts) == 2:
+                    placed(p, parts, alias)
         elif name == "UnresolvedTableValuedFunction":
             if strict or seq(p.name())[-1].lower() not in TABLE_FUNCTIONS:
                 raise Rejected("table functions are not allowed")
         for e in seq(p.expressions()):
             expression(e, scope)
+        below = both(days, range_of(p.condition())) if name == "Filter" else days if name == "SubqueryAlias" else (None, None)
         for c in _children(p):
-            walk(c, scope)
+            walk(c, scope, below, name == "SubqueryAlias")
+
+    def range_of(e) -> tuple[str | None, str | None]:
+        """The days that a condition leaves: bounds that hold for every row it keeps."""
+        name = e.getClass().getSimpleName()
+        kids = seq(e.children())
+        if name == "And":
+            return both(range_of(kids[0]), range_of(kids[1]))
+        if name in ("EqualTo", "GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual") and len(kids) == 2:
+            turned = {"GreaterThan": "LessThan", "LessThan": "GreaterThan", "GreaterThanOrEqual": "LessThanOrEqual", "LessThanOrEqual": "GreaterThanOrEqual"}
+            if _is_dt(kids[1]):
+                kids, name = kids[::-1], turned.get(name, name)
+            day = _literal_day(kids[1]) if _is_dt(kids[0]) else None
+            return (None if name.startswith("Less") else day, None if name.startswith("Greater") else day)
+        if name == "UnresolvedFunction" and [str(x).lower() for x in seq(e.nameParts())] == ["between"]:
+            kids = seq(e.arguments())
+        if name in ("Between", "UnresolvedFunction") and len(kids) == 3 and _is_dt(kids[0]):
+            return (_literal_day(kids[1]), _literal_day(kids[2]))
+        if name == "In" and _is_dt(kids[0]):
+            found = [_literal_day(k) for k in kids[1:]]
+            return (min(found), max(found)) if found and all(found) else (None, None)
+        return (None, None)
 
     if strict and plan.getClass().getSimpleName() in ("Union", "Intersect", "Except", "Distinct"):
         raise Rejected("set operations on top are not allowed")
     walk(plan, set())
-    return used
+    days = {}
+    for key, found in asked.items():  # a table that is read twice is asked for all its readers' days
+        lows, highs = zip(*found, strict=True)
+        days[key] = (None if None in lows else min(lows), None if None in highs else max(highs))
+    return Admitted(used, names, days)
+
+
+def both(a: tuple[str | None, str | None], b: tuple[str | None, str | None]) -> tuple[str | None, str | None]:
+    return (max((x for x in (a[0], b[0]) if x), default=None), min((x for x in (a[1], b[1]) if x), default=None))
+
+
+def _is_dt(e) -> bool:
+    return e.getClass().getSimpleName() == "UnresolvedAttribute" and str(e.nameParts().last()).lower() == "dt"
+
+
+def _literal_day(e) -> str | None:
+    """The day of a literal such as DATE'2024-01-05' or '2024-01-05'; None for anything else."""
+    m = re.fullmatch(r"(?:DATE ?)?'(\d{4}-\d{2}-\d{2})'", e.sql()) if e.getClass().getSimpleName() == "Literal" else None
+    return m and m[1]
+
+
+def renamed(sql: str, found: Admitted) -> str:
+    """The statement with each database.table written as the one name its view has; nothing else of the text changes."""
+    for a, b, parts, alias in sorted(found.names, reverse=True):
+        quoted = [f"`{p.replace('`', '``')}`" for p in parts]
+        view = f"`{'__'.join(parts[:2]).lower()}`"
+        new = ".".join(quoted[1:]) if alias is None else view if alias else f"{view} AS {quoted[1]}"
+        sql = sql[:a] + new + sql[b + 1 :]
+    return sql
 
 
 @dataclass
@@ -114,28 +193,37 @@ class Result:
 
 
 class Service:
-    """Views by name, each query in a session of its own."""
+    """Views by name, each query in a session of its own.
 
-    def __init__(self, spark: SparkSession, views: dict[str, DataFrame], max_rows: int = 100_000, timeout_seconds: float = 60.0, max_bytes: int | None = None):
+    A view is a DataFrame, or anything with ``read(first day, last day)``: an archive, which is then
+    listed for each query, and only as far as the query's conditions on dt go.
+    """
+
+    def __init__(self, spark: SparkSession, views: dict[str, object], max_rows: int = 100_000, timeout_seconds: float = 60.0, max_bytes: int | None = None):
         self.spark, self.views, self.max_rows, self.timeout, self.max_bytes = spark, {k.lower(): v for k, v in views.items()}, max_rows, timeout_seconds, max_bytes
 
+    def frame(self, name: str, days: tuple[str | None, str | None] = (None, None)) -> DataFrame:
+        view = self.views[name]
+        df = view.read(*days) if hasattr(view, "read") and not isinstance(view, DataFrame) else view
+        if df is None:
+            raise Rejected("nothing is archived yet")
+        return df
+
     def run(self, sql: str, max_rows: int | None = None, timeout_seconds: float | None = None, strict: bool = False) -> Result:
+        """One deadline covers the gate, the listing of files, planning and the run."""
         limit = min(max_rows or self.max_rows, self.max_rows)
         session = self.spark.newSession()
         for k, v in (("spark.sql.variable.substitute", "false"), ("spark.sql.runSQLOnFiles", "false"), ("spark.sql.session.timeZone", "UTC"), ("spark.sql.ansi.doubleQuotedIdentifiers", "true")):
             session.conf.set(k, v)
-        used = check(session, sql, set(self.views), strict)
-        for name in used:
-            _in(session, self.views[name]).createOrReplaceTempView(name.replace(".", "__"))
         text = re.sub(r";\s*\Z", "", sql)
-        for name in (n for n in used if "." in n):
-            db, table = name.split(".")
-            text = re.sub(rf"(?i)(?<![\w.`\"])[`\"]?{db}[`\"]?\s*\.\s*[`\"]?{table}[`\"]?(?![\w`\"])", f"{db}__{table}", text)
         box: dict = {}
 
         def work() -> None:
             try:
-                df = session.sql(text)
+                found = admitted(session, text, set(self.views), strict)
+                for name in found.tables:
+                    _in(session, self.frame(name, found.days[name])).createOrReplaceTempView(name.replace(".", "__"))
+                df = session.sql(renamed(text, found))
                 df = df.toDF(*unique(df.columns))
                 box["schema"] = df.schema
                 box["rows"] = df.limit(limit + 1).collect()
@@ -227,4 +315,4 @@ def meta(service: Service, sql: str) -> list[tuple] | None:
     key = f"{m[4]}.{m[5]}".lower()
     if key not in service.views:
         raise Rejected("unknown table")
-    return [(f.name, f.dataType.simpleString()) for f in service.views[key].schema.fields]
+    return [(f.name, f.dataType.simpleString()) for f in service.frame(key).schema.fields]

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import checkpointed
+
 
 def batch(df: DataFrame, cursor: str, above: int | None, bound: int | None, limit: int) -> DataFrame:
     """The next rows in cursor order (TakeOrderedAndProject); above None: from the start."""
@@ -80,3 +82,17 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: list[str], columns
     b = right.select(F.lit(None).cast(a.schema["l"].dataType).alias("l"), F.col(on).alias("_t"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.struct(*columns).alias("r"), F.lit(0).alias("_o"))
     w = Window.partitionBy(*[f"_k{i}" for i in range(len(by))]).orderBy("_t", "_o", "r").rowsBetween(Window.unboundedPreceding, 0)
     return a.unionByName(b).withColumn("r", F.last("r", ignorenulls=True).over(w)).where("_o = 1").select("l.*", *[F.col(f"r.{c}").alias(f"right_{c}") for c in columns])
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Rows numbered from 0 in a total order of any size: ranges are sorted and counted in parallel, one row a range gives each its first number."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
+    rows = checkpointed(rows.withColumn("_i", F.col("_m") - F.shiftleft(F.col("_p").cast("long"), 33)).drop("_m"))  # ranges are sampled: they must not be dealt twice
+    sizes = rows.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.select(F.col("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return rows.join(F.broadcast(before), "_p").withColumn(name, F.col("_i") + F.col("_b")).drop("_p", "_i", "_b")  # one row a partition
+
+
+def positional_join(left: DataFrame, l_order: list[str], right: DataFrame, r_order: list[str]) -> DataFrame:
+    """Rows side by side: the first of each order, the second, and so on; the longer side goes on beside nulls.  Orders must be total."""
+    return numbered(left, l_order, "_at").join(numbered(right, r_order, "_at"), "_at", "full").drop("_at")

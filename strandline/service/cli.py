@@ -42,9 +42,8 @@ def archive_job(spark: SparkSession, config: Config, name: str) -> ArchiveJob:
 
 
 def archive_views(spark: SparkSession, config: Config) -> dict:
-    """One view a job that has archived anything; a job without files has none."""
-    found = {j.name: Archive(spark, j.prefix, j.cursor).read() for j in config.jobs}
-    return {k: v for k, v in found.items() if v is not None}
+    """Each job's archive, listed anew by every query."""
+    return {j.name: Archive(spark, j.prefix, j.cursor) for j in config.jobs}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -70,6 +69,8 @@ def parser() -> argparse.ArgumentParser:
     q.add_argument("--output")
     q.add_argument("--max-rows", type=int, default=QUERY_ROWS)
     q.add_argument("--timeout", type=float, default=QUERY_SECONDS)
+    q.add_argument("--max-bytes", type=int, help="largest result, as JSON")
+    q.add_argument("--strict", action="store_true", help="no table functions, no set operations on top")
     q.add_argument("--isolate", action="store_true", help="run in a process that is ended at the deadline")
     return p
 
@@ -88,7 +89,11 @@ def _show(thing) -> None:
 def query(spark: SparkSession, config: Config, a: argparse.Namespace) -> int:
     if a.max_rows < 1 or a.timeout <= 0:
         raise ConfigError("--max-rows and --timeout must be positive")
-    done = Q.Service(spark, archive_views(spark, config), a.max_rows, a.timeout).run(a.sql)
+    service = Q.Service(spark, archive_views(spark, config), a.max_rows, a.timeout, a.max_bytes)
+    if (answer := Q.meta(service, a.sql)) is not None:
+        emit(json.dumps(answer), a.output)
+        return 0
+    done = service.run(a.sql, strict=a.strict)
     if done.truncated:
         print(f"Only the first {a.max_rows} rows are shown.", file=sys.stderr)
     emit(Q.to_json(done) if a.format == "json" else Q.to_csv(done, not a.no_header), a.output)

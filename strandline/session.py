@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = Path(__file__).resolve().parent
 
@@ -24,3 +24,14 @@ def ship_package(spark: SparkSession) -> None:
             z.write(p, p.relative_to(_ROOT.parent))
     sc.addPyFile(name)
     sc._strandline_shipped = True
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in the cluster's shared checkpoint folder; a temporary one only under a local master."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint(eager=True)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,10 @@ from .files import Store
 _LADDERS = ([T.ByteType, T.ShortType, T.IntegerType, T.LongType], [T.FloatType, T.DoubleType])
 
 
+#: Of rows that repeat an id: data files before incremental ones, then the greater name.
+PREFERRED = ["split(_file, '-')[0] ASC", "_file DESC"]
+
+
 class SchemaConflict(ValueError):
     pass
 
@@ -55,35 +60,55 @@ class Archive:
     def files(self) -> list[ArchiveFile]:
         return self.store.files()
 
-    def read_files(self, files: list[ArchiveFile]) -> DataFrame:
-        """Exactly these files with their day; files are grouped by footer schema and cast to the union."""
-        read = self.spark.read.option("basePath", self.store.root)
-        by: dict[str, list[ArchiveFile]] = defaultdict(list)
-        schemas: dict[str, T.StructType] = {}
-        for f in files:  # one footer a file
-            s = self.spark.read.parquet(f.path).schema
-            by[s.json()].append(f)
-            schemas[s.json()] = T.StructType([x for x in s.fields if x.name != "dt"])
-        union = union_schema(schemas[k] for k in sorted(schemas, key=lambda k: min(f.from_id for f in by[k])))
+    def _scan(self, files: list[ArchiveFile]) -> DataFrame:
+        return self.spark.read.option("basePath", self.store.root).option("mergeSchema", "true").parquet(*[f.path for f in files])
+
+    def _alike(self, files: list[ArchiveFile]) -> list[tuple[list[ArchiveFile], DataFrame]]:
+        """Files in runs whose schemas Spark can merge, each with its scan.
+
+        Spark reads a run's footers in one distributed pass; only where types
+        differ is the run halved, so drift costs passes by its changes, not by files.
+        """
+        try:
+            return [(files, self._scan(files))]
+        except (PySparkException, Py4JJavaError):
+            if len(files) == 1:
+                raise
+        half = len(files) // 2
+        return self._alike(files[:half]) + self._alike(files[half:])
+
+    def read_files(self, files: list[ArchiveFile], name: str | None = None) -> DataFrame:
+        """Exactly these files with their day, cast to the union of their schemas; ``name``: a column for the file's name."""
+        runs: dict[str, tuple[list[ArchiveFile], DataFrame]] = {}
+        for some, df in self._alike(sorted(files, key=lambda f: (f.from_id, f.path))):
+            key = df.schema.json()
+            runs[key] = ([*runs[key][0], *some], runs[key][1]) if key in runs else (some, df)
+        schemas = {k: T.StructType([x for x in df.schema.fields if x.name != "dt"]) for k, (_, df) in runs.items()}
+        union = union_schema(schemas.values())
         parts = []
-        for k, some in by.items():
-            df = read.parquet(*[f.path for f in some])
+        for k, (some, df) in runs.items():
+            df = self._scan(some)
             have = set(schemas[k].names)
-            parts.append(df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in union.fields], F.col("dt").cast("date").alias("dt")))
+            more = [F.col("_metadata.file_name").alias(name)] if name else []
+            parts.append(df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in union.fields], F.col("dt").cast("date").alias("dt"), *more))
         return reduce(DataFrame.unionByName, parts)
 
     def read(self, first: str | None = None, last: str | None = None) -> DataFrame | None:
-        """The archive, or its days first..last; each id once.  None if nothing was ever archived."""
-        files = self.files()
+        """The archive, or its days first..last; each id once.  None if nothing was ever archived.
+
+        Folders outside the days are neither listed nor opened.
+        """
+        every = self.store.days()
+        files = self.store.files(None if first is None and last is None else [d for d in every if (first is None or d >= first) and (last is None or d <= last)])
         if not files:
+            for day in reversed(every):  # the newest day that has a file knows the schema
+                if known := self.store.files([day]):
+                    return self.read_files([self.latest(known)]).where(F.lit(False))
             return None
-        some = [f for f in live(files) if (first is None or f.dt >= first) and (last is None or f.dt <= last)]
-        if not some:
-            return self.read_files([self.latest(files)]).where(F.lit(False))
-        df = self.read_files(some)
-        if overlapping(some):
-            df = first_of_each(df.withColumn("_o", F.lit(0)), self.cursor, ["_o"]).drop("_o")
-        return df
+        some = live(files)
+        if not overlapping(some):
+            return self.read_files(some)
+        return first_of_each(self.read_files(some, "_file"), self.cursor, PREFERRED).drop("_file")
 
     @staticmethod
     def latest(files: list[ArchiveFile]) -> ArchiveFile:
@@ -92,7 +117,8 @@ class Archive:
 
 
 def first_of_each(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row of each key, the first in ``order``; rows that tie there are told apart by their content."""
+    """One row of each key, the first in ``order`` (columns or expressions, ASC or DESC); rows that tie there are told apart by their content."""
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    w = Window.partitionBy(key).orderBy(*order, tie)
+    by = [F.expr(o.removesuffix(" DESC")).desc() if o.endswith(" DESC") else F.expr(o.removesuffix(" ASC")).asc() for o in order]
+    w = Window.partitionBy(key).orderBy(*by, tie)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

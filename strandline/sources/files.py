@@ -25,15 +25,27 @@ class Store:
     def _path(self, p: str):
         return self.jvm.org.apache.hadoop.fs.Path(p)
 
-    def list(self) -> list[Entry]:
-        """Files exactly two levels down."""
-        found = self._fs.globStatus(self._path(f"{self.root}/*/*"))
+    def _entries(self, found) -> list[Entry]:
         local = "://" not in self.root and not self.root.startswith("file:")
         out = [Entry(s.getPath().toUri().getPath() if local else s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found or [] if s.isFile()]
         return sorted(out, key=lambda e: e.path)
 
-    def files(self) -> list[ArchiveFile]:
-        return [f for e in self.list() if (f := parse(e.path, self.root))]
+    def list(self) -> list[Entry]:
+        """Files exactly two levels down."""
+        return self._entries(self._fs.globStatus(self._path(f"{self.root}/*/*")))
+
+    def days(self) -> list[str]:
+        """Days that have a folder: one listing, of folders alone."""
+        names = [s.getPath().getName() for s in self._fs.globStatus(self._path(f"{self.root}/dt=*")) or [] if s.isDirectory()]
+        return sorted(n.removeprefix("dt=") for n in names)
+
+    def files(self, days: list[str] | None = None) -> list[ArchiveFile]:
+        """The archive's files, or those of some days: then only their folders are listed."""
+        if days is None:
+            found = self.list()
+        else:
+            found = [e for d in days for e in self._entries(self._fs.globStatus(self._path(f"{self.root}/dt={d}/*")))]
+        return [f for e in found if (f := parse(e.path, self.root))]
 
     def parts(self, folder: str) -> list[str]:
         found = self._fs.globStatus(self._path(f"{folder}/part-*"))

@@ -7,6 +7,7 @@ state outside the archive; here offsets are file names, and no row is dropped.
 from __future__ import annotations
 
 import threading
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -58,14 +59,21 @@ def daily(job: ArchiveJob, registry: Registry, now: datetime) -> None:
         registry.run(job.job.name, "purge", lambda: job.purge(now))
 
 
+def next_due(due: float, every: float, now: float) -> float:
+    """When the next round is due: a multiple of ``every`` after the last, so rounds don't drift; missed ones are passed over."""
+    return due + every * max(1, -(-(now - due) // every))
+
+
 def serve(jobs: list[ArchiveJob], stop: threading.Event, registry: Registry | None = None, clock: Callable[[], datetime] = utc_now) -> Registry:
     """Blocks until ``stop``; a running batch is waited for."""
     registry = registry or Registry()
 
     def loop(job: ArchiveJob, kind: str, every: float, action: Callable[[], object]) -> None:
+        due = time.monotonic()
         while not stop.is_set():
             registry.run(job.job.name, kind, action)
-            stop.wait(every)
+            due = next_due(due, every, time.monotonic())
+            stop.wait(max(0.0, due - time.monotonic()))
 
     def at_time(job: ArchiveJob) -> None:
         done = None

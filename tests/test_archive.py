@@ -66,7 +66,7 @@ def test_safety_lag_takes_younger_rows_below_the_bound(spark, tmp_path):
 
 def test_guard_stalls(spark, tmp_path):
     job = make(spark, tmp_path, [1, 1, 1])
-    job.hot.write_guard = lambda: 1
+    job.hot.write_guard = lambda wait: 1
     assert job.export(NOW).to_id == 1
     assert job.export(NOW).status == "stalled"
 
@@ -126,7 +126,7 @@ def test_config():
 
 def test_dialects(spark):
     m, d = (JdbcHotTable(spark, "jdbc:x", "logs", "id", x) for x in ("mysql", "derby"))
-    assert m.range_sql(5, None, 10) == "SELECT * FROM logs WHERE `id` > 5 ORDER BY `id` LIMIT 10"
+    assert m.range_sql(5, None, 10) == "SELECT * FROM `logs` WHERE `id` > 5 ORDER BY `id` LIMIT 10"
     assert "FETCH FIRST 10 ROWS ONLY" in d.delete_sql(9, "x < 1", 10)
 
 
@@ -150,3 +150,104 @@ def test_service(spark):
     assert Q.to_csv(s.run("SELECT 'a,\"b' AS x, array(1) AS y, NULL AS z")) == 'x,y,z\r\n"a,""b",[1],\r\n'
     with pytest.raises(Q.Timeout):
         s.run("SELECT sum(a.id * b.id) FROM range(4000000) a, range(400000) b", timeout_seconds=0.5)
+
+
+def test_a_query_over_one_day_lists_and_opens_that_day(spark, tmp_path):
+    job = make(spark, tmp_path, [4, 4, 3, 3, 2, 2, 1])
+    assert job.export(NOW).rows == 7
+    listed, store = [], job.archive.store
+    whole = store.files
+    store.files = lambda days=None: listed.append(days) or whole(days)
+    service = Q.Service(spark, {"lake.logs": job.archive})
+    sql = "SELECT id, 'lake.logs' AS s, lake.logs.user_id FROM lake.logs WHERE dt = DATE'2024-03-07' ORDER BY id"
+    assert service.run(sql).rows == [(3, "lake.logs", 2), (4, "lake.logs", 3)]
+    assert listed == [["2024-03-07"]]
+    assert all("dt=2024-03-07" in f for f in job.archive.read("2024-03-07", "2024-03-07").inputFiles())
+    assert service.run("SELECT * FROM lake.logs WHERE dt > '2025-01-01'").columns == ["id", "user_id", "created_at", "dt"]  # the schema without a row
+    job.hot.replace(spark.createDataFrame([(8, 1, datetime(2024, 3, 9))], "id long, user_id int, created_at timestamp_ntz"))
+    assert job.export(NOW).rows == 1 and service.run("SELECT count(*) FROM lake.logs").rows == [(8,)]  # new files are seen
+    assert service.run("SELECT count(*) FROM lake.logs a JOIN lake.logs b USING (id) WHERE a.dt = '2024-03-07'").rows == [(2,)]
+
+
+def test_compaction_counts_before_it_publishes(spark, tmp_path):
+    from strandline.operators import jobs
+    from strandline.operators.writer import Segment, write
+
+    job = make(spark, tmp_path, [1] * 25, export_rows=10)
+    while job.export(NOW).status == "ok":
+        pass
+    some = job.archive.read_files(job.archive.files()[:1]).withColumn("seg", F.lit(0)).withColumn("dt", F.lit("2024-03-09")).withColumn("user_id", F.lit(99))
+    write(job.archive, some, [Segment(0, "2024-03-09", 1, 10, 10)], "data")
+    before = names(job)
+    first = jobs.first_of_each
+    jobs.first_of_each = lambda *a: first(*a).limit(24)
+    try:
+        with pytest.raises(Refused):
+            job.compact("2024-03-09")
+    finally:
+        jobs.first_of_each = first
+    assert names(job) == before  # nothing was published, nothing deleted
+    assert job.archive.read().where("user_id = 99").count() == 10  # of repeated ids the data file's row
+    done = job.compact("2024-03-09")
+    assert (done.rows, done.merged) == (25, 4) and names(job) == ["data-1-25.parquet"]
+    assert job.archive.read().where("user_id = 99").count() == 10
+
+
+def test_backfill_tells_of_its_days(spark, tmp_path):
+    job, seen = make(spark, tmp_path, [3, 3, 2, 1]), []
+    job.backfill("2024-03-07", "2024-03-09", on_day=lambda *a: seen.append(a))
+    assert seen == [("2024-03-07", 2, 2), ("2024-03-08", 1, 3), ("2024-03-09", 1, 4)]
+
+
+class Fake:
+    def __init__(self, **how):
+        self.job, self.calls, self.fail = Job("f", "t", "p", **how), [], False
+
+    def export(self, now):
+        self.calls.append("export")
+
+    def compact_pending(self, now):
+        self.calls.append("compact")
+        if self.fail:
+            raise RuntimeError("x")
+
+    def purge(self, now):
+        self.calls.append("purge")
+
+
+def test_scheduler():
+    import threading
+    import time
+
+    from strandline.streaming import scheduler as S
+
+    registry, job = S.Registry(), Fake()
+    S.daily(job, registry, NOW)
+    assert job.calls == ["compact", "purge"]
+    job.fail, job.calls = True, []
+    S.daily(job, registry, NOW)
+    assert job.calls == ["compact"] and "RuntimeError" in registry.states["f", "compact"].error
+    S.daily(own := Fake(purge_interval_seconds=9), registry, NOW)
+    assert own.calls == ["compact"]
+    held, stop = threading.Event(), threading.Event()
+    t = threading.Thread(target=registry.run, args=("f", "export", held.wait))
+    t.start()
+    while registry.states.get(("f", "export")) is None or registry.states["f", "export"].state != "running":
+        time.sleep(0.01)
+    assert not registry.run("f", "export", lambda: 1)  # no overlap
+    held.set()
+    t.join()
+    job = Fake(compact_at="03:00")
+    t = threading.Thread(target=S.serve, args=([job], stop, registry, lambda: NOW))
+    t.start()
+    time.sleep(0.4)
+    stop.set()
+    t.join(10)
+    assert not t.is_alive() and job.calls.count("export") == 1 and job.calls.count("compact") == 1
+
+
+def test_missed_rounds_are_not_made_up():
+    from strandline.streaming.scheduler import next_due
+
+    assert next_due(100.0, 30.0, 105.0) == 130.0
+    assert next_due(100.0, 30.0, 195.0) == 220.0  # three were missed; one runs, and the rhythm stays
