@@ -2,30 +2,33 @@
 
 Three parts.  A character language model: 4-gram counts of folded letters over
 the whole corpus (a table of fixed size, whose counts grow with the input).
-A lexicon: words and word beginnings whose documents are labelled toxic
-significantly more often than others, from a bounded sample of labelled rows
-(SAMPLE, in hash order of ids).  A decoder: a token that mixes letters with
-digits or symbols, repeats a letter, or is spelt with gaps becomes a lattice
-of what its characters may stand for; Viterbi search under the language model
-finds the likeliest readings, and the restored words are looked up.  A word of
-letters alone with an equal pair or an accented Latin letter is looked up
-without them instead, unless the labelled rows show it to be an ordinary word.
+A decoder: a token that mixes letters with digits or symbols, repeats a letter
+three times, or is spelt with gaps becomes a lattice of what its characters may stand
+for; exact Viterbi search under the language model finds the likeliest readings.  A
+lexicon: words and word beginnings whose documents are labelled toxic
+significantly more often than others, in different neighbourhoods (so that copies of one
+document count once), from a bounded sample of labelled rows (SAMPLE, in hash order of ids); hidden tokens of these rows are decoded first, so restored text is learnt from.
+Words of letters alone are read as they stand; one with an equal pair or an
+accented Latin letter is looked up without them too, unless the labelled rows
+show it to be an ordinary word.
 
 A document's score is one minus the product, over the lexicon entries found in
-it, of the odds that each is harmless, starting from BASE, a
-fixed value: documents without an entry all score BASE, whatever the labels.
+it, of the odds that each is harmless, starting from the share of toxic rows
+that the sample shows among documents without any entry.
 
-Edge cases.  Null and empty texts score BASE.  Null ids are scored;
+Edge cases.  Null and empty texts score that share.  Null ids are scored;
 they match no label.  Labels that contradict each other count as the largest.
 Repeated rows score alike.  Empty tables: empty result; without labels every
-score is 0.  Very long texts are read whole.
+score is 0.  Very long texts and tokens are read whole.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -39,18 +42,18 @@ from ._common import flat, pieces, settle, tidy
 #: At most so many labelled rows train the lexicon.
 SAMPLE = 20_000
 THRESHOLD = 0.3
-LETTERS, ORDER, BEAM, READINGS = 32, 4, 48, 4
+LETTERS, ORDER, READINGS = 32, 4, 4
 #: Evidence an entry needs, in nats beyond the logarithm of the number of entries in as many documents.
 MARGIN = 2.5
 MEMO = 300_000
-BASE = 0.02
+_MASK = (1 << 61) - 1
 
 # What a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou", "#": "h", "%": "o"}
 LOOKALIKE = dict(zip("аеорсухіѕԁոαεοτικ", "aeopcyxisdnaeotik", strict=True))
 GAPS = " ._-*'~/\\​‌‍﻿­"
 _EDGE = ".,;:?\"'()[]{}%&#*…«»“”‘’"
-_SPELT = re.compile(r"(?<!\S)[^\W_](?:[ ._\-*~/]{1,3}(?:[^\W_]|[@$!|])){3,}(?!\w)")
+_SPELT = re.compile(r"(?<!\S)[^\W_](?:[ ._\-*~/]{1,3}(?:[^\W_]|[@$!|])){2,}(?!\w)")
 _SIGN = r"[0-9@$!|+(€£¡*#%._\-'~\u200b-\u200d\ufeff\u00ad]"
 #: Where a token hides letters: signs between letters, a sign before letters or behind one (beyond sentence punctuation), a letter three times, letters of another script beside Latin ones.
 _ODD = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S)[0-9@$!|+(€£¡*]+[^\W\d_]|[^\W\d_][0-9@$|+€£*#%]|([^\W\d_])\1\1|[a-z][\u0370-\u04ff]|[\u0370-\u04ff][a-z]")
@@ -58,6 +61,7 @@ _ODD = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S)[0-9@$!|+(€£¡*]+[^\W\d_
 #: Where a word of letters may hide another: a letter twice, an accented Latin letter.
 _SOFT = re.compile(r"([^\W\d_])\1|[\u00e0-\u00f6\u00f8-\u024f\u1e00-\u1eff]")
 _RUN = re.compile(r"(.)\1+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def bare(word: str) -> str:
@@ -136,33 +140,47 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def readings(token: str, lm: np.ndarray, n: int = READINGS) -> list[str]:
-    """The likeliest letter strings behind a token: Viterbi search over its lattice, best first."""
-    fold = _fold
-    beam: dict[tuple[int, str], tuple[float, str]] = {(0, ""): (0.0, "")}  # (three letters as a number, last character) -> cost, text
+    """The ``n`` likeliest letter strings behind a token, best first: exact Viterbi search over its lattice.
+
+    A state is the last three letters; of each the n best paths are kept, as chains of letters.
+    """
+    states: dict[int, list[tuple]] = {0: [(0.0, 0, None)]}  # three letters as a number -> (cost, hash of the text, chain)
     for arcs in lattice(token):
-        new: dict[tuple[int, str], list[tuple[float, str]]] = {}
-        for (ctx, _), paths in ((k, v if isinstance(v, list) else [v]) for k, v in beam.items()):
-            for cost, text in paths:
-                for letter, pay in arcs:
-                    if letter:
-                        f = fold(letter)
-                        c = cost + pay - float(lm[ctx * LETTERS + f])
-                        key = ((ctx * LETTERS + f) % LETTERS**3, "")
-                        got = (c, text + letter)
-                    else:
-                        key, got = (ctx, ""), (cost + pay, text)
-                    kept = new.setdefault(key, [])
-                    if all(t != got[1] for _, t in kept):
-                        kept.append(got)
-                        kept.sort()
-                        del kept[n:]
-        if len(new) > BEAM:
-            new = dict(sorted(new.items(), key=lambda kv: kv[1][0])[:BEAM])
-        beam = new
-    ends = sorted((cost - float(lm[ctx * LETTERS]), text) for (ctx, _), paths in beam.items() for cost, text in (paths if isinstance(paths, list) else [paths]))
-    return list(dict.fromkeys(t for _, t in ends))[:n]
+        new: dict[int, list[tuple]] = {}
+        for ctx, paths in states.items():
+            for letter, pay in arcs:
+                if letter:
+                    f = _fold(letter)
+                    step, key = pay - float(lm[ctx * LETTERS + f]), (ctx * LETTERS + f) % LETTERS**3
+                    new.setdefault(key, []).extend([(c + step, (h * 1_000_003 ^ ord(letter)) & _MASK, (chain, letter)) for c, h, chain in paths])
+                else:
+                    new.setdefault(ctx, []).extend([(c + pay, h, chain) for c, h, chain in paths])
+        states = {k: _best(paths, n) for k, paths in new.items()}
+    ends = _best([(c - float(lm[ctx * LETTERS]), h, chain) for ctx, paths in states.items() for c, h, chain in paths], n)
+    out = []
+    for _, _, chain in ends:
+        text = []
+        while chain is not None:
+            chain, letter = chain
+            text.append(letter)
+        out.append("".join(reversed(text)))
+    return out
+
+
+def _best(paths: list[tuple], n: int) -> list[tuple]:
+    """The n cheapest paths of different texts; ties by text hash."""
+    out: list[tuple] = []
+    seen = set()
+    for p in sorted(paths, key=lambda p: p[:2]) if len(paths) > 1 else paths:
+        if p[1] not in seen:
+            seen.add(p[1])
+            out.append(p)
+            if len(out) == n:
+                break
+    return out
 
 
+@functools.lru_cache(1 << 16)
 def _fold(letter: str) -> int:
     base = unicodedata.normalize("NFD", letter)[0]
     return ord(base) - 96 if "a" <= base <= "z" else 27
@@ -239,38 +257,45 @@ class Scorer:
         """Entries inside a stretch of single characters with gaps between."""
         out = set()
         for r in readings(stretch, self.lm):
-            out |= {r[a:z] for a in range(len(r)) for z in range(a + 4, min(len(r), a + 16) + 1)}
+            out.add(r)
+            if self.plain is not None:
+                out |= {r[last - n + 1 : last + 1] for last, n in self.plain.iter(r) if n >= 4}
         return out
 
-    def score(self, text: str) -> float:
+    def hits(self, text: str) -> set[str]:
+        """Lexicon entries in a text, as it is or restored."""
         text = text.lower()
         hits = self.literal(text)
-        at = 0
-        while m := _ODD.search(text, at):
-            a, z = m.start(), m.end()
-            while a and not text[a - 1].isspace():
-                a -= 1
-            while z < len(text) and not text[z].isspace():
-                z += 1
-            hits.update(self.restored(text[a:z]))
-            at = z
-        at = 0
-        while self.bare and (m := _SOFT.search(text, at)):
-            a, z = m.start(), m.end()
-            while a and text[a - 1].isalpha():
-                a -= 1
-            while z < len(text) and text[z].isalpha():
-                z += 1
-            hits.update(self.softened(text[a:z]))
-            at = z
+        for token in odd(text):
+            hits.update(self.restored(token))
+        if self.bare:
+            for word in set(_LETTERS.findall(text)):
+                if _SOFT.search(word):
+                    hits.update(self.softened(word))
         for m in _SPELT.finditer(text):
             hits |= self.spelt(m[0])
+        return hits & self.lexicon.keys()
+
+    def score(self, text: str) -> float:
         clean = 1.0 - self.base
-        for h in sorted(hits & self.lexicon.keys()):
+        for h in sorted(self.hits(text)):
             clean *= 1.0 - self.lexicon[h]
         return 1.0 - clean
 
 
+def odd(text: str) -> Iterator[str]:
+    """Tokens of a lower-case text that may hide letters."""
+    at = 0
+    while m := _ODD.search(text, at):
+        a, z = m.start(), m.end()
+        while a and not text[a - 1].isspace():
+            a -= 1
+        while z < len(text) and not text[z].isspace():
+            z += 1
+        yield text[a:z]
+        at = z
+
+
 def training(remainder: Column) -> Column:
     return remainder != 2
 
@@ -287,22 +312,37 @@ def sample(labels: DataFrame, train: Column | None = None, bound: int = SAMPLE)
     return rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
-def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float, frozenset[str]]:
-    """The lexicon with each entry's share of toxic documents, BASE (fixed, not measured), and ordinary words that look like entries but for equal pairs and accents.
+def learn(docs: DataFrame, labelled: DataFrame, lm: np.ndarray) -> tuple[dict[str, float], float, frozenset[str]]:
+    """The lexicon with each entry's share of toxic documents, the measured share among documents without any entry, and ordinary words that look like entries but for equal pairs and accents.
 
+    Words are counted as they stand and as decoded: a hidden token or spelt stretch counts as its likeliest reading.
     ``labelled`` holds at most SAMPLE rows, which is why it is broadcast.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(labelled), "doc_id").select("text", "toxic")
 
+    spark = docs.sparkSession
+    model = spark.sparkContext.broadcast(lm)  # LETTERS ** ORDER numbers
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoded: dict[str, list[str]] = {}
+
+        def behind(token: str) -> list[str]:
+            if token not in decoded:
+                if len(decoded) >= MEMO:
+                    decoded.clear()
+                decoded[token] = [e for r in readings(token, model.value, 1) if len(r) >= 4 and r.isalpha() for e in entries(r)]
+            return decoded[token]
+
         for b in batches:
             n, bad = Counter({"": 0}), Counter()
             for text, toxic in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
                 if len(n) > 100_000:  # an entry may come in several rows; they are added up
                     yield counted(n, bad)
                     n, bad = Counter({"": 0}), Counter()
-                text = text.as_py()
-                own = {e for t in set(text.lower().split()) if (w := plain(t)).isalpha() for e in entries(w)}
+                text = text.as_py().lower()
+                own = {e for t in set(text.split()) if (w := plain(t)).isalpha() for e in entries(w)}
+                for t in {*odd(text), *(m[0] for m in _SPELT.finditer(text))}:
+                    own.update(behind(plain(t)))
                 own.add("")  # every document has this entry: the totals
                 n.update(own)
                 if toxic:
@@ -325,19 +365,49 @@ def learn(docs: DataFrame, labelled: DataFrame) -> tuple[dict[str, float], float
     for n, k in often:
         seen += k
         rivals[n] = seen
+
+    def evidence(n: int, bad: int) -> bool:
+        """Whether ``bad`` of ``n`` is more than chance gives the best of as many entries as have n documents."""
+        p = bad / n
+        gain = n * (p * math.log(p / rate) + ((1 - p) * math.log((1 - p) / (1 - rate)) if p < 1 else 0.0)) if p > rate else 0.0
+        return gain >= math.log(rivals[max((k for k in rivals if k <= n), default=min(rivals))]) + MARGIN
+
+    chosen = spark.sparkContext.broadcast(frozenset(r.entry for r in some if evidence(int(r.n), int(r.bad))))
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: set[tuple[str, int, int]] = set()
+            for text, toxic in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
+                words = [plain(t) for t in text.as_py().lower().split()]
+                for i, w in enumerate(words):
+                    found = entries(w) if w.isalpha() else [e for r in readings(w, model.value, 1) for e in entries(r)] if w and _ODD.search(w) else ()
+                    near = None
+                    for e in found:
+                        if e in chosen.value:
+                            near = near or zlib.crc32(" ".join([*words[max(0, i - 1) : i], "|", *words[i + 1 : i + 2]]).encode())
+                            out.add((e, near, int(toxic > 0)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in ((0, pa.string()), (1, pa.int64()), (2, pa.int32()))], names=["entry", "near", "toxic"])
+
+    # copies of a document repeat its words with their neighbours: an entry's evidence is its different neighbourhoods
+    places = rows.mapInArrow(tidy(contexts), "entry string, near long, toxic int").groupBy("entry", "near").agg(F.max("toxic").alias("toxic"))
     lexicon = {}
-    for r in some:
-        need = math.log(rivals[int(r.n)]) + MARGIN
+    for r in places.groupBy("entry").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).collect():  # no more than there are in ``chosen``
         n, bad = int(r.n), int(r.bad)
-        p = bad / n
-        gain = n * (p * math.log(p / rate) + ((1 - p) * math.log((1 - p) / (1 - rate)) if p < 1 else 0.0))
-        if gain >= need:
+        if bad >= 3 and evidence(n, bad):
             lexicon[r.entry] = (bad + 0.5) / (n + 1.0) * 0.98
     index = bare_entries(lexicon)
     # words of three or more labelled documents, mostly harmless ones: their number is bounded by the sample
     words = per.where((F.col("n") >= 3) & (F.col("bad") * 2 <= F.col("n")) & F.col("entry").rlike(r"(\p{L})\1|[\u00e0-\u00f6\u00f8-\u024f\u1e00-\u1eff]") & ~F.col("entry").endswith("-")).select("entry")
     ordinary = frozenset(r.entry for r in words.toLocalIterator() if any(b in index for b in entries(bare(r.entry)))) if index else frozenset()
-    return lexicon, BASE, ordinary
+    given = spark.sparkContext.broadcast((lm, lexicon, 0.0, ordinary))
+
+    def none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Scorer(*given.value)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([not s.hits(t.as_py()) for t in b.column("text")], pa.bool_()), b.column("toxic")], names=["none", "toxic"])
+
+    left = rows.mapInArrow(tidy(none), "none boolean, toxic int").where("none").agg(F.count("*").alias("n"), F.sum((F.col("toxic") > 0).cast("int")).alias("bad")).first()
+    return lexicon, ((left.bad or 0) + 0.5) / (left.n + 1.0), ordinary
 
 
 def scored(docs: DataFrame, lm: np.ndarray, lexicon: dict[str, float], base: float, ordinary: frozenset[str] = frozenset(), threshold: float = THRESHOLD) -> DataFrame:
@@ -360,7 +430,8 @@ def scored(docs: DataFrame, lm: np.ndarray, lexicon: dict[str, float], base: flo
 
 
 def model(docs: DataFrame, labels: DataFrame, train: Column | None = None) -> tuple[np.ndarray, dict[str, float], float, frozenset[str]]:
-    return (language_model(letter_counts(docs)), *learn(docs, sample(labels, train)))
+    lm = language_model(letter_counts(docs))
+    return (lm, *learn(docs, sample(labels, train), lm))
 
 
 def op7(docs: DataFrame, labels: DataFrame) -> DataFrame:
