@@ -45,7 +45,7 @@ THRESHOLD = 0.3
 LETTERS, ORDER, READINGS = 32, 4, 4
 #: Evidence an entry needs, in nats beyond the logarithm of the number of entries in as many documents.
 MARGIN = 2.5
-MEMO = 300_000
+MEMO = 100_000
 _MASK = (1 << 61) - 1
 
 # What a character may stand for.
@@ -319,6 +319,7 @@ def learn(docs: DataFrame, labelled: DataFrame, lm: np.ndarray) -> tuple[dict[st
     ``labelled`` holds at most SAMPLE rows, which is why it is broadcast.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(labelled), "doc_id").select("text", "toxic")
+    rows = settle(rows)  # at most the sample's texts, read three times
 
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(lm)  # LETTERS ** ORDER numbers
