@@ -17,10 +17,9 @@ _ROOT = Path(__file__).resolve().parent
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package: a no-op where PYTHONPATH already does, else addPyFile of its sources.
 
-    Batches for them are bounded by bytes, as texts may be long, unless the session says otherwise.
+    Batches for them are bounded by bytes, as texts may be long.
     """
-    if not 0 <= int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "-1")) <= BATCH_BYTES:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     on_path = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
     sc = spark.sparkContext
     if os.path.realpath(_ROOT.parent) in on_path or getattr(sc, "_strandline_shipped", False):
