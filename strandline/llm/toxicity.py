@@ -61,6 +61,7 @@ _ODD = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S)[0-9@$!|+(€£¡*]+[^\W\d_
 #: Where a word of letters may hide another: a letter twice, an accented Latin letter.
 _SOFT = re.compile(r"([^\W\d_])\1|[\u00e0-\u00f6\u00f8-\u024f\u1e00-\u1eff]")
 _RUN = re.compile(r"(.)\1+")
+_TRIPLE, _OTHER_SCRIPT = re.compile(r"([^\W\d_])\1\1"), re.compile("[\u0370-\u04ff]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -208,7 +209,8 @@ class Scorer:
 
     def __init__(self, lm: np.ndarray, lexicon: dict[str, float], base: float, ordinary: frozenset[str] = frozenset()):
         self.lm, self.lexicon, self.base, self.memo = lm, lexicon, base, {}
-        self.ordinary, self.bare, self.soft = ordinary, bare_entries(lexicon), {}
+        self.ordinary, self.bare, self.soft, self.starts = ordinary, bare_entries(lexicon), {}, {}
+        self.firsts = {e[:2] for e in self.bare}
         self.plain = None
         if lexicon:
             import ahocorasick
@@ -243,6 +245,14 @@ class Scorer:
             self.memo[token] = got
         return got
 
+    def begins(self, two: str) -> bool:
+        """Whether the bare form of a word with this beginning may be an entry's."""
+        got = self.starts.get(two)
+        if got is None:
+            form = bare(two)
+            got = self.starts[two] = len(form) < 2 or form[:2] in self.firsts
+        return got
+
     def softened(self, word: str) -> tuple[str, ...]:
         """Entries that a word of letters is but for doubled letters and accents."""
         got = self.soft.get(word)
@@ -270,7 +280,7 @@ class Scorer:
             hits.update(self.restored(token))
         if self.bare:
             for word in set(_LETTERS.findall(text)):
-                if _SOFT.search(word):
+                if self.begins(word[:2]) and _SOFT.search(word):
                     hits.update(self.softened(word))
         for m in _SPELT.finditer(text):
             hits |= self.spelt(m[0])
@@ -284,16 +294,13 @@ class Scorer:
 
 
 def odd(text: str) -> Iterator[str]:
-    """Tokens of a lower-case text that may hide letters."""
-    at = 0
-    while m := _ODD.search(text, at):
-        a, z = m.start(), m.end()
-        while a and not text[a - 1].isspace():
-            a -= 1
-        while z < len(text) and not text[z].isspace():
-            z += 1
-        yield text[a:z]
-        at = z
+    """Different tokens of a lower-case text that may hide letters."""
+    every = _TRIPLE.search(text) or _OTHER_SCRIPT.search(text)  # then words of letters alone may, too
+    for token in set(text.split()):
+        if not every and (token.isalpha() or token.lstrip("(\"'").rstrip(".,;:?!)\"'").isalpha()):
+            continue
+        if _ODD.search(token):
+            yield token
 
 
 def training(remainder: Column) -> Column:
