@@ -100,9 +100,22 @@ def tile(q: dict[str, np.ndarray], c: dict[str, np.ndarray], k: int) -> tuple[np
     kk = min(k, low.shape[1])
     bar = -np.partition(-low, kk - 1, axis=1)[:, kk - 1]
     r, s = np.nonzero((approx + err >= bar[:, None]) & ~own)
+    keep = first_of_equal(r, c["hashes"][s], low[r, s], c["ids"][s], k)
+    r, s = r[keep], s[keep]
     return r, s, low[r, s], (approx + err)[r, s]
 
 
+def first_of_equal(query: np.ndarray, h: np.ndarray, low: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k smallest ids among a query's candidates of one vector (equal hash and bound), in query order: equal vectors tie, so no other of them can be among the k best."""
+    order = np.lexsort((ids, low, h, query))
+    new = np.ones(len(order), bool)
+    a, b = order[1:], order[:-1]
+    new[1:] = (query[a] != query[b]) | (h[a] != h[b]) | (low[a] != low[b])
+    at = np.flatnonzero(new)
+    rank = np.arange(len(order)) - np.repeat(at, np.diff(np.append(at, len(order))))
+    return order[rank < k]
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of every row for which ``is_query(id column)`` holds."""
     rows = usable(vectors, id_col, vector)
@@ -140,6 +153,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         bar = lows[0] if len(lows) == k else -np.inf
         keep = np.concatenate([np.asarray(x) for x in pdf["highs"]]) >= bar
         ids, hashes = (np.concatenate([np.asarray(x, np.int64) for x in pdf[c]])[keep] for c in ("ids", "hashes"))
+        some = first_of_equal(np.zeros(len(ids), np.int64), hashes, np.concatenate([np.asarray(x) for x in pdf["lows"]])[keep], ids, k)
+        ids, hashes = ids[some], hashes[some]
         return pd.DataFrame({"query_id": np.full(len(ids), pdf["query_id"].iloc[0]), "query_h": np.full(len(ids), pdf["query_h"].iloc[0]), "id": ids, "h": hashes})
 
     some = tops.groupBy("query_id", "query_h").applyInPandas(merged, "query_id long, query_h long, id long, h long").distinct()

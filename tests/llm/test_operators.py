@@ -245,6 +245,69 @@ def test_neighbours_of_many_dimensions(spark):
     assert (neighbours.products(codes, codes) == codes.astype(neighbours.np.int64) @ codes.T.astype(neighbours.np.int64)).all()
 
 
+def test_neighbours_among_equal_vectors(spark):
+    ship_package(spark)
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 else [float(i), 1.0, 0.5]) for i in range(900)] + [(7, [1.0, 2.0, 3.0]), (20, [9.0, 9.0, 9.0])]
+    got = collections.defaultdict(list)
+    for r in neighbours.op6(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    for q in (40, 60, 880):
+        x = dict(rows)[q]
+        best = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for i, v in rows if i != q)[:20]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
+def test_stages_on_odd_rows(docs, empty, spark):
+    import corpus_pipeline
+
+    ship_package(spark)
+    base = "/root/testdata/sf0.001"
+    odd = docs.unionByName(spark.createDataFrame([(None, "some text without an id", None, None, None, None, None, None), (None, None, None, None, None, None, None, None)], SCHEMA))
+    for table in (odd, empty):
+        now = table
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, base)
+            assert now.columns == table.columns
+        corpus_pipeline.STAGES[-1][1](spark, now, base).count()
+    near_kept = corpus_pipeline.dedup_near(spark, odd, base)
+    sets = {}
+    for r in odd.collect():
+        w = [x.lower() for x in tokens(r.text)]
+        sets[r.doc_id, r.text] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    kept = [(r.doc_id, r.text) for r in near_kept.collect()]
+    full = [k for k in kept if sets[k]]
+    assert all(100 * len(sets[a] & sets[b]) < 80 * len(sets[a] | sets[b]) for i, a in enumerate(full) for b in full[i + 1 :])
+    assert sum(not sets[k] for k in kept) == sum(not sets[r.doc_id, r.text] for r in odd.collect())
+    mixed = corpus_pipeline.mix_sources(spark, odd, base).groupBy("doc_id", "text", "source").count().collect()
+    sizes = collections.Counter()
+    for r in odd.collect():
+        sizes[r.source] += len(tokens(r.text))
+    goal = dict(zip(sorted(sizes, key=lambda s: (s is None, s or "")), mixing.targets([sizes[s] for s in sorted(sizes, key=lambda s: (s is None, s or ""))], [5, 2, 1], 1.5), strict=True))
+    for s in sizes:
+        assert 0 <= goal[s] + 0.5 - sum(r["count"] * len(tokens(r.text)) for r in mixed if r.source == s) <= 10
+
+
+def test_line_recall(spark):
+    """Candidates against brute force: changed lines of the smallest table that are still similar."""
+    import random
+
+    ship_package(spark)
+    rnd = random.Random(4)
+    every = sorted({x for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() for x in (r.text or "").split("\n") if 8 <= len(x.split()) <= 80})
+    rnd.shuffle(every)
+    rows, want = [], 0
+    for i, line in enumerate(every[:400]):
+        w = line.split()
+        k = rnd.randrange(len(w))
+        other = " ".join([*w[:k], w[k] + "s" if i % 2 else rnd.choice(every[0].split()), *w[k + 1 :]])
+        a, b = lines.normal(line), lines.normal(other)
+        if a != b and min(len(a), len(b)) >= lines.SHORT and lines.similar(a, b, lines.SIMILAR):
+            rows += [(2 * want, line), (2 * want + 1, other)]
+            want += 1
+    gone = {r.doc_id for r in lines.removed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert want > 200 and sum(2 * i + 1 in gone for i in range(want)) >= 0.95 * want
+
+
 def test_chat_masks_and_roles(spark):
     ship_package(spark)
     texts = ["end", "|", ">", "\n", "<|end|>", "|>\n", "a", "\\", "[", "x|>"]
