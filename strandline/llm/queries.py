@@ -14,6 +14,7 @@ from .lines import op5
 from .mixing import op2
 from .near import op3
 from .neighbours import op6
+from .oracles import oracle_sql as oracle_sql
 from .packing import op9
 from .substrings import op4
 from .suffixes import op1
@@ -46,7 +47,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": _on("documents", op9),
         "op10_fingerprints": _on("documents", op10),
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
