@@ -33,20 +33,44 @@ def components(links: DataFrame) -> DataFrame:
         edges = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
 
+class Ranges:
+    """Ranges of the order of three long columns, cut at equal steps through a sample of them."""
+
+    def __init__(self, sample: list[np.ndarray], parts: int):
+        order = np.lexsort(sample[::-1])
+        at = order[np.arange(1, parts) * len(order) // parts] if len(order) else order
+        self.cuts = [c[at] for c in sample]
+
+    def part(self, columns: list[np.ndarray]) -> np.ndarray:
+        """How many cuts stand at or before each row; where the first column is no cut's, it decides alone."""
+        low, high = (np.searchsorted(self.cuts[0], columns[0], side) for side in ("left", "right"))
+        hot = np.flatnonzero(low < high)
+        if len(hot):
+            n = len(self.cuts[0])
+            is_row = np.arange(n + len(hot)) >= n
+            order = np.lexsort((is_row, *[np.concatenate([c, x[hot]]) for c, x in zip(self.cuts[::-1], columns[::-1], strict=True)]))
+            before = np.empty(len(order), np.int64)
+            before[order] = np.cumsum(~is_row[order])
+            high[hot] = before[n:]
+        return high.astype(np.int32)
+
+
 Columns = dict[str, np.ndarray]
 #: Rows a sorted stream is compared in.
 CHUNK = 1 << 16
 
 
-def neighbour_links(rows: DataFrame, order: list[str], group: list[str], kernel: Callable[[Columns], tuple[np.ndarray, np.ndarray]], reach: int) -> DataFrame:
+def neighbour_links(rows: DataFrame, order: list[str], group: list[str], kernel: Callable[[Columns], tuple[np.ndarray, np.ndarray]], reach: int, parts: int = 0) -> DataFrame:
     """u, v, w: pairs that ``kernel`` finds among rows (long columns, no nulls) in the order of ``order``, and how often each was found.
 
     The kernel gets stretches of the sorted rows and gives node pairs (u, v) of rows at most
     ``reach`` places apart.  Rows are dealt by ranges of the whole order, so one
     hot group spreads over as many tasks as its rows need; the ends of each range, 2 * reach
     rows a task, meet in a step of their own.  ``group``: columns the kernel's pairs agree in.
+    With ``parts``, a column ``part`` holds each row's range already (see ``Ranges``), so that
+    no pass over the rows is spent on finding ranges.
     """
-    names = rows.columns
+    names = [c for c in rows.columns if c != "part"]
     end_type = pa.struct([(c, pa.int64()) for c in names])
 
     def links(cols: Columns) -> pa.RecordBatch:
@@ -101,7 +125,8 @@ def neighbour_links(rows: DataFrame, order: list[str], group: list[str], kernel:
                 yield links(cols)
 
     schema = f"u long, v long, w long, end struct<{', '.join(f'{c}: long' for c in names)}>"
-    found = settle(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(tidy(run), schema))
+    ranged = rows.repartitionById(parts, F.col("part")).drop("part") if parts else rows.repartitionByRange(*order)
+    found = settle(ranged.sortWithinPartitions(*order).mapInArrow(tidy(run), schema))
     ends = found.where("u is null").select("end.*").distinct().coalesce(1).sortWithinPartitions(*order)
     inner = ends.mapInArrow(tidy(lambda b: run(b, False)), schema)
     return found.where("u is not null").select("u", "v", "w").unionByName(inner.select("u", "v", "w")).groupBy("u", "v").agg(F.sum("w").alias("w"))
