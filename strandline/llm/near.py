@@ -9,13 +9,15 @@ and, everywhere, the NEIGHBOURS next with the longest common prefixes.  The
 orders are dealt by ranges, so a crowded region is no task of its own.  One
 bit of each minimum hash travels along and sets aside pairs that agree far
 too rarely; every other candidate is confirmed on the full sets, link by link.
-Components of confirmed links are the near-duplicate groups.
+Then each region that was crowded at its least depth is gone through whole:
+all its pairs that these links left in different components are candidates,
+too, dealt by parts of the region.  Components of confirmed links are the
+near-duplicate groups.
 
 A region's least depth follows from the threshold: a pair there shares no
-region with probability under 2 in 100,000 (4 values at 0.85, 3 at 0.8); in
-crowded regions deepening lowers that, and the pair is found in another order
-or through its neighbours.  The agreement test lies six standard deviations
-below the threshold.
+region with probability under 2 in 100,000 (4 values at 0.85, 3 at 0.8),
+crowded or not.  The agreement test lies six standard deviations below the
+threshold.
 
 Words are hashed modulo a prime, shingles and sets are compared by 64-bit
 hashes; the class of a set is the BLAKE2b digest of its sorted hashes.
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import flat, join_keyed, keyed, pieces, settle, tidy
-from ._grouping import Columns, confirmed, neighbour_links
+from ._grouping import Columns, completed, confirmed, ends_of, neighbour_links, rest_links
 from ._rolling import Exact, digests, lowered, mix, seeds, words
 
 SHINGLE, PERCENT = 5, 80
@@ -149,7 +151,30 @@ def candidates(classes: DataFrame, percent: int) -> DataFrame:
     lanes, at = DEPTH // 4, TREES * (DEPTH // 4)
     trees = F.array(*[F.struct(F.lit(t).cast("long").alias("t"), F.col("sig")[t * lanes].alias("head"), F.col("sig")[t * lanes + 1].alias("rest")) for t in range(TREES)])
     rows = classes.select(F.explode(trees).alias("x"), "cid", "n", F.col("sig")[at].alias("b0"), F.col("sig")[at + 1].alias("b1")).select("x.*", "cid", "n", "b0", "b1")
-    return neighbour_links(rows, ["t", "head", "rest", "cid"], ["t", "head"], forest_pairs(percent, least_depth(percent)), CROWD - 1)
+    return neighbour_links(rows, ["t", "head", "rest", "cid"], ["t", "head"], forest_pairs(percent, least_depth(percent)), CROWD - 1)[0]
+
+
+def crowded(classes: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """u, v, lu, lv: all pairs of classes (cid, n, sig) that share a region at its least depth of more than CROWD classes, may be similar enough and that ``comp`` (node, label) keeps apart."""
+    least, agree, at = least_depth(percent), least_agreement(percent), TREES * (DEPTH // 4)
+
+    def head(t: int):
+        lanes = [F.col("sig")[t * (DEPTH // 4) + i] for i in range(DEPTH // 4)]
+        whole, part = divmod(least, 4)
+        shown = lanes[:whole] + ([F.shiftrightunsigned(lanes[whole], 64 - 16 * part)] if part else [])
+        return F.struct(F.lit(t).cast("long").alias("t"), *[x.alias(f"h{i}") for i, x in enumerate(shown)])
+
+    rows = classes.join(comp, F.col("cid") == F.col("node"), "left").select(F.explode(F.array(*[head(t) for t in range(TREES)])).alias("x"), F.col("cid").alias("node"), F.coalesce("label", "cid").alias("label"), "n", F.col("sig")[at].alias("b0"), F.col("sig")[at + 1].alias("b1"))
+    rows = rows.select("x.*", "node", "label", "n", "b0", "b1")
+
+    def fits(c: Columns, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        enough = 100 * np.minimum(c["n"][i], c["n"][j]) >= percent * np.maximum(c["n"][i], c["n"][j])
+        return enough & (128 - sum(np.bitwise_count((c[b][i] ^ c[b][j]).view(np.uint64)).astype(np.int64) for b in ("b0", "b1")) >= agree)
+
+    def within(c: Columns, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return 100 * c["n"][i] >= percent * c["n"][j]
+
+    return rest_links(rows, [c for c in rows.columns if c == "t" or c[0] == "h"], ["n", "node"], fits, within, CROWD)
 
 
 def similar(percent: int):
@@ -170,10 +195,8 @@ def similar(percent: int):
 def groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataFrame:
     """doc_id, th, n_shingles, component_id and component_th (smallest (id, text hash) of the group) of every row."""
     sets = settle(signatures(docs, k))
-    classes = sets.where("n > 0").groupBy("cid", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("rep"), F.first("sig").alias("sig"))
+    classes = settle(sets.where("n > 0").groupBy("cid", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "th")).alias("rep"), F.first("sig").alias("sig")))
     links = settle(candidates(classes.select("cid", "n", "sig"), percent))
-    nodes = links.select(F.col("u").alias("cid")).unionByName(links.select(F.col("v").alias("cid"))).distinct()
-    wanted = classes.join(nodes, "cid").select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -183,9 +206,13 @@ def groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE) -> DataFra
                 blobs = [x[at[i] : at[i + 1]].astype("<u8").tobytes() for i in range(z - a)]
                 yield pa.RecordBatch.from_arrays([b.column("cid").slice(a, z - a), pa.array(blobs, pa.binary())], names=["id", "payload"])
 
-    # one row a class: rows that repeat id and text give the same set
-    members = settle(join_keyed(keyed(docs), wanted).dropDuplicates(["cid"]).select("text", "cid").mapInArrow(tidy(run), "id long, payload binary"))
-    comp = confirmed(links, members, similar(percent))
+    def members(pairs: DataFrame) -> DataFrame:
+        wanted = classes.join(ends_of(pairs, "cid"), "cid").select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th"), "cid")
+        # one row a class: rows that repeat id and text give the same set
+        return settle(join_keyed(keyed(docs), wanted).dropDuplicates(["cid"]).select("text", "cid").mapInArrow(tidy(run), "id long, payload binary"))
+
+    comp = confirmed(links, members(links), similar(percent))
+    comp = completed(comp, crowded(classes.select("cid", "n", "sig"), comp, percent), members, similar(percent))
     named = classes.select("cid", "n", "rep").join(comp, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cid"))
     least = named.groupBy("label").agg(F.min("rep").alias("least"))
     by_class = named.join(least, "label").select("cid", "n", F.col("least.doc_id").alias("component_id"), F.col("least.th").alias("component_th"))

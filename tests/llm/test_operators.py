@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import json
+import random
 import re
 import zlib
 
@@ -113,6 +114,27 @@ def test_near_duplicates(docs):
     assert kept.columns == docs.columns and kept.count() == len({r[0] for r in kept.select("doc_id").collect()})
 
 
+def test_near_duplicates_in_a_crowd(spark):
+    """Pairs at the threshold among hundreds of documents that are all but as close to them, each link compared with brute force."""
+    draw = random.Random(5)
+    texts = []
+    for i in range(400):
+        out = [f"c{j}" for j in range(800)]
+        for j in draw.sample(range(2, 800, 5), 8):
+            out[j] = f"d{i}x{j}"
+        texts.append(" ".join(out))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert 300 < len(set(root)) < 400
+    got = near.op3(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(root))
+
+
 def test_lines(docs):
     assert lines.edit_distance("kitten", "sitting", 9) == 3 and lines.edit_distance("abc", "xyz", 2) == 3 and lines.edit_distance("ab" * 50, "ba" * 50, 9) == 2
     out = {(r.row.doc_id, r.kept) for r in lines.dedup(docs).collect()}
