@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +144,34 @@ def test_lines(docs):
     assert (12, "x") not in out and (21, "x") in out and (18, None) in out
 
 
+def test_lines_in_a_crowd(spark):
+    """Hundreds of lines share blocks and few are similar: every similar pair that a block holds in fitting places is found."""
+    draw = random.Random(3)
+    base = " ".join(f"word{j * 7919 % 997:03}" for j in range(24))
+    texts = []
+    for i in range(300):
+        out = list(base)
+        for j in draw.sample(range(110, len(base)), 14):
+            out[j] = draw.choice("abcdefghijklmnopqrstuvwxyz")
+        texts.append("".join(out))
+    forms = [lines.normal(t) for t in texts]
+    _, _, norm, _, chars, sketch = lines.parsed(texts)
+    marks = np.frombuffer(b"".join(sketch), np.uint64).reshape(-1, lines.LEAST)
+    blocks = collections.defaultdict(list)
+    for rows, key, place in lines.gram_pairs(marks, chars):
+        for r, x, p in zip(rows.tolist(), key.tolist(), place, strict=True):
+            blocks[x].append((r, p))
+    root = list(range(len(texts)))
+    pairs = {(a, b) for held in blocks.values() for a, p in held for b, q in held if a < b and lines.meets(np.array([p]), np.array([q]), 0.9)[0]}
+    for a, b in pairs:
+        if root[a] != root[b] and lines.similar(forms[a], forms[b], 0.9):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    assert 100 < len(set(root)) < 295
+    got = lines.removed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in got.collect()) == [i for i, r in enumerate(root) if i != r]
+
+
 def test_fuzzy_lines(spark):
     ship_package(spark)
     a = " ".join(WORDS[:60])
