@@ -3,8 +3,8 @@
 The canonical form of a text is its NFC normal form, case-folded (upper then
 lower, and ß as ss), with every run of white space one blank and none
 at the ends.  Its fingerprint is two xxhash64 values with different seeds, 32
-hex digits.  Inside a bucket of equal hashes the canonical bytes are compared:
-should two differ, all but the smallest get a suffix that numbers them, so
+hex digits.  Should texts of one hash differ by their SHA-256, their canonical
+bytes are compared, and all but the smallest get a suffix that numbers them, so
 fingerprints are equal exactly if canonical texts are.  The likeness of two
 fingerprints is therefore 1 or 0.
 
@@ -98,13 +98,15 @@ def wide(canon: Column) -> Column:
 def clashes(rows: DataFrame) -> DataFrame:
     """(fingerprint, canon, tail) for canonical texts that share a hash with a smaller one.
 
-    Distinct texts are compared byte by byte; copies are merged before the shuffle,
-    so a group of copies, however large, sends one row a partition.
+    Hashes with more than one SHA-256 are sought first, so only their texts travel;
+    these are compared byte by byte, copies merged before the shuffle.
     """
-    texts = rows.select("fingerprint", "canon").distinct()
-    shared = texts.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1").select("fingerprint")
+    digest = F.sha2(F.col("canon").cast("binary"), 256)
+    shared = settle(rows.select("fingerprint", digest.alias("_d")).groupBy("fingerprint").agg(F.min("_d").alias("_a"), F.max("_d").alias("_z")).where("_a <> _z").select("fingerprint"))
+    if shared.isEmpty():
+        return shared.select("fingerprint", F.lit("").alias("canon"), F.lit(0).alias("tail"))
     w = Window.partitionBy("fingerprint").orderBy("canon")
-    return texts.join(shared, "fingerprint", "left_semi").withColumn("tail", F.row_number().over(w) - 1).where("tail > 0")
+    return rows.select("fingerprint", "canon").join(shared, "fingerprint", "left_semi").distinct().withColumn("tail", F.row_number().over(w) - 1).where("tail > 0")
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:

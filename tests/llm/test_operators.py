@@ -436,6 +436,23 @@ def test_fingerprints(docs, spark):
     assert f[1] == f[2] != f[3] and f[4] == f[5]
 
 
+def test_clashing_fingerprints(spark, monkeypatch):
+    """Texts of one hash get numbers; to tell that there are any, no text is shuffled."""
+    docs = spark.createDataFrame(list(enumerate(["b", "a", "A ", "c", "b"])), "doc_id long, text string")
+    plans = []
+
+    def settled(df, own=fingerprints.settle):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return own(df)
+
+    monkeypatch.setattr(fingerprints, "settle", settled)
+    plain = [r.fingerprint for r in fingerprints.fingerprinted(docs).orderBy("doc_id").collect()]
+    assert len(set(plain)) == 3 and plain[0] == plain[4] and plain[1] == plain[2]
+    assert not [x for p in plans for x in re.findall(r"hashpartitioning\([^)]*", p) if "canon" in x]
+    monkeypatch.setattr(fingerprints, "wide", lambda canon: F.substring(F.concat(F.lit("same"), canon), 1, 4))
+    assert [r.fingerprint for r in fingerprints.fingerprinted(docs).orderBy("doc_id").collect()] == ["same#1", "same", "same", "same#2", "same#1"]
+
+
 def test_toxicity(spark):
     ship_package(spark)
     bad = ["scoundrel", "villain"]
